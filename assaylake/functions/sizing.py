@@ -1,0 +1,22 @@
+"""Checks of data size made before a broadcast is allowed."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def planned_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate, or None where the session does not expose it."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # a remote session has no handle on the plan
+        return None
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """True only if Spark itself would broadcast `df` under its configured threshold."""
+    size = planned_bytes(df)
+    if size is None:
+        return False
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return 0 <= size <= limit
