@@ -24,6 +24,7 @@ from assaylake.operators.rules import (
     table_lookup,
     value_text,
 )
+from assaylake.sources.metadata import frame
 
 RESULT_SCHEMA = (
     "dq_batch_id string, layer string, domain string, table_nm string, rule_id bigint, feed_id bigint, "
@@ -91,7 +92,7 @@ def evaluate(
     joined = [_with_feed(hits.withColumn("_pos", F.lit(0)), [(c, sql)], batch_id, as_of) for c, hits, sql in others]
     joined_results = reduce(DataFrame.unionByName, joined) if joined else None
     parts += joined
-    results = reduce(DataFrame.unionByName, parts) if parts else df.sparkSession.createDataFrame([], RESULT_SCHEMA)
+    results = reduce(DataFrame.unionByName, parts) if parts else frame(df.sparkSession, [], RESULT_SCHEMA)
     return Evaluation(
         pending=source,
         results=results,

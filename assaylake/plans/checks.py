@@ -10,10 +10,11 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from assaylake.operators.evaluate import Evaluation, evaluate, merge_status, score_rows
+from assaylake.operators.evaluate import Evaluation, evaluate, merge_status, pending_rows, score_rows
 from assaylake.operators.rules import Check
 from assaylake.operators.summary import failed_records, gate
-from assaylake.sources.lake import Lake, as_schema
+from assaylake.sources.lake import Lake
+from assaylake.sources.metadata import as_schema, frame
 from assaylake.sources.scratch import written_table
 
 LOG_SCHEMA = (
@@ -23,7 +24,7 @@ LOG_SCHEMA = (
 
 
 def log_rows(lake: Lake, rows: Iterable[tuple]) -> None:
-    lake.append("audit", "dq_log", lake.spark.createDataFrame(list(rows), LOG_SCHEMA).coalesce(1))
+    lake.append("audit", "dq_log", frame(lake.spark, list(rows), LOG_SCHEMA).coalesce(1))
 
 
 def run_checks(
@@ -47,7 +48,7 @@ def run_checks(
 
     try:
         rows, last = lake.read_pending(layer, table, schema)
-        if not last:
+        if not last or pending_rows(rows).isEmpty():
             log_rows(lake, [log(None, None, None, 0, 0, "Success")])
             return _outcome(lake, layer, table, batch_id, 0, 0, settings)
 
@@ -111,9 +112,10 @@ def _record(lake: Lake, rows, checks, batch_id, as_of, tables, unique_key) -> tu
 def _outcome(lake, layer, table, batch_id, total, failed, settings) -> dict:
     pct = round(failed / total * 100, 2) if total else 0.0
     row = (batch_id, layer, table, total, failed, pct)
-    summary = lake.spark.createDataFrame(
-        [row], "dq_batch_id string, layer string, table_nm string, overall_count bigint, failed_count bigint, "
-        "fail_pct double",
+    summary = frame(
+        lake.spark,
+        [row],
+        "dq_batch_id string, layer string, table_nm string, overall_count bigint, failed_count bigint, fail_pct double",
     )
     decided = gate(summary, settings).first()
     return {

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from assaylake.operators.audit import EVENT_SCHEMA, step_states
 from assaylake.sources.lake import Lake
-from assaylake.sources.metadata import Step
+from assaylake.sources.metadata import Step, frame
 
 NOTIFICATION_SCHEMA = "run_id string, notification_type string, event_type string, send_status string"
 
@@ -35,13 +35,12 @@ class Events:
             *(result.get(c, 0) for c in ("rows_read", "rows_written", "rows_rejected", "rows_updated")),
             result.get("error") or result.get("reason"),
         )
-        self.lake.append("audit", "step_event", self.lake.spark.createDataFrame([row], EVENT_SCHEMA).coalesce(1))
+        self.lake.append("audit", "step_event", frame(self.lake.spark, [row], EVENT_SCHEMA).coalesce(1))
 
     def notify(self, event: str) -> None:
         if self.notify_enabled:
             row = (self.run_id, "EMAIL", event, "PENDING")
-            rows = self.lake.spark.createDataFrame([row], NOTIFICATION_SCHEMA).coalesce(1)
-            self.lake.append("audit", "notification", rows)
+            self.lake.append("audit", "notification", frame(self.lake.spark, [row], NOTIFICATION_SCHEMA).coalesce(1))
 
 
 def failed_step(lake: Lake, run_id: str) -> int | None:

@@ -30,8 +30,8 @@ from assaylake.operators.profile import profile_columns
 from assaylake.operators.rules import plan_checks
 from assaylake.plans.checks import run_checks
 from assaylake.plans.package import run_package
-from assaylake.sources.lake import Lake, as_schema
-from assaylake.sources.metadata import FEEDS, RULES, SETTINGS, STEPS
+from assaylake.sources.lake import Lake
+from assaylake.sources.metadata import FEEDS, RULES, SETTINGS, STEPS, as_schema, frame
 
 # Table layouts.
 RAW_REGISTRY = (
@@ -176,8 +176,7 @@ class ProviderLoad:
         )
 
     def load_dimension(self, run_id: str, mode: str) -> dict:
-        spark = self.lake.spark
-        target = spark.createDataFrame([], DIM_PROVIDER)
+        target = frame(self.lake.spark, [], DIM_PROVIDER)
         if mode != "FULL":
             target = self.lake.read("silver", "dim_provider", DIM_PROVIDER)
         seen = Observation()

@@ -15,9 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-
-def as_schema(schema: StructType | str) -> StructType:
-    return StructType.fromDDL(schema) if isinstance(schema, str) else schema
+from assaylake.sources.metadata import as_schema, frame
 
 
 @dataclass
@@ -87,7 +85,7 @@ class Lake:
     def _load(self, paths: list[str], schema) -> DataFrame:
         schema = as_schema(schema)
         if not paths:
-            return self.spark.createDataFrame([], schema)
+            return frame(self.spark, [], schema)
         return self.spark.read.schema(schema).parquet(*paths)
 
     def exists(self, layer: str, table: str) -> bool:

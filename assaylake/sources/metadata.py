@@ -6,9 +6,13 @@ reading them to the driver is bounded by what people configured.
 
 from __future__ import annotations
 
-from dataclasses import asdict, dataclass, fields
+from dataclasses import dataclass, fields, is_dataclass
+from decimal import Decimal
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 
 @dataclass(frozen=True)
@@ -76,20 +80,29 @@ CONFIG_SCHEMA = "config_key string, config_value string, config_data_type string
 RECIPIENT_SCHEMA = "email_id int, domain string, emails string"
 
 
-def frame(spark: SparkSession, rows, schema: str) -> DataFrame:
-    """Inline rows (records or tuples) as a DataFrame."""
-    tuples = [tuple(asdict(r).values()) if hasattr(r, "__dataclass_fields__") else tuple(r) for r in rows]
-    return spark.createDataFrame(tuples, schema)
+def as_schema(schema: StructType | str) -> StructType:
+    return StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
 
-def step_frame(spark: SparkSession, steps) -> DataFrame:
-    from decimal import Decimal
+def frame(spark: SparkSession, rows, schema: StructType | str) -> DataFrame:
+    """Inline rows (records or tuples) as a local relation: no Python worker is involved."""
+    kind = as_schema(schema)
+    tuples = [_values(r) for r in rows]
+    layout = to_arrow_schema(kind)
+    columns = [pa.array([t[i] for t in tuples], type=f.type) for i, f in enumerate(layout)]
+    return spark.createDataFrame(pa.table(columns, schema=layout), kind)
+
+
+def _values(row) -> tuple:
+    return tuple(getattr(row, f.name) for f in fields(row)) if is_dataclass(row) else tuple(row)
 
+
+def step_frame(spark: SparkSession, steps) -> DataFrame:
     rows = [
         (s.step_id, s.step_name, s.step_layer, Decimal(str(s.step_order)), list(s.depends_on) or None, s.is_active)
         for s in steps
     ]
-    return spark.createDataFrame(rows, STEP_SCHEMA)
+    return frame(spark, rows, STEP_SCHEMA)
 
 
 def records(df: DataFrame, kind):

@@ -12,6 +12,7 @@ from assaylake.operators.summary import status_distribution
 from assaylake.plans.checks import LOG_SCHEMA
 from assaylake.plans.provider import DIM_PROVIDER, RAW_REGISTRY, RAW_SPECIALTY, STG_REGISTRY, STG_SPECIALTY, ProviderLoad
 from assaylake.sources.lake import Lake
+from assaylake.sources.metadata import frame
 from tests.fixtures import registry_rows, specialty_rows
 
 DAY_ONE, DAY_TWO = "2026-06-18 00:00:00", "2026-06-19 00:00:00"
@@ -21,8 +22,8 @@ SECOND_LOAD = datetime(2026, 6, 18, 12)
 def load(spark, root, registry=None, specialties=None, as_of=DAY_ONE, **kwargs):
     return ProviderLoad(
         Lake(spark, str(root)),
-        spark.createDataFrame(registry_rows() if registry is None else registry, RAW_REGISTRY),
-        spark.createDataFrame(specialty_rows() if specialties is None else specialties, RAW_SPECIALTY),
+        frame(spark, registry_rows() if registry is None else registry, RAW_REGISTRY),
+        frame(spark, specialty_rows() if specialties is None else specialties, RAW_SPECIALTY),
         as_of,
         **kwargs,
     )
