@@ -108,7 +108,7 @@ def category_rollup(results: DataFrame, rules: DataFrame, categories: DataFrame)
     per_rule = results.groupBy("rule_id").agg(
         F.count(F.lit(1)).alias("_n"), F.count_if(F.col("result") == FAIL).alias("_failed")
     )
-    named = rules.select("rule_id", "category_id").join(categories, "category_id")
+    named = rules.select("rule_id", F.col("category_id").cast("bigint")).join(categories, "category_id")
     return (
         named.join(per_rule, "rule_id", "left")
         .groupBy("category_id", "category_nm")
