@@ -302,7 +302,7 @@ QUERIES = {
         "SELECT o_custkey AS c_custkey, 'orders' AS origin FROM e UNION ALL SELECT c_custkey, 'customers' "
         "FROM customer WHERE NOT EXISTS (SELECT 1 FROM e WHERE o_custkey = c_custkey)")),
     "surrogate_key": (surrogate_key, (
-        "SELECT c_custkey, c_name, 100 + row_number() OVER (ORDER BY substr(md5(CAST(c_custkey AS VARCHAR)), 1, 3), "
+        "SELECT c_custkey, c_name, 100 + row_number() OVER (ORDER BY substr(md5(CAST(c_custkey AS VARCHAR)), 1, 4), "
         "c_custkey) AS customer_sk, md5(c_custkey || '|' || c_name) AS customer_hash FROM customer")),
     "keep_latest": (keep_latest, f"SELECT customer_bk, order_status, order_priority FROM ({_last()})"),
     "dim_source": (dim_source, (

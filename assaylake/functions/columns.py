@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -55,8 +56,5 @@ def seconds_between(start: Column, end: Column) -> Column:
 
 
 def any_of(conditions: Iterable[Column]) -> Column:
-    """True when at least one condition is true; a NULL condition counts as not true."""
-    result = F.lit(False)
-    for condition in conditions:
-        result = result | F.coalesce(condition, F.lit(False))
-    return result
+    """True when at least one condition is true; for filters and `when`, where NULL is not true."""
+    return reduce(lambda a, b: a | b, conditions, F.lit(False))

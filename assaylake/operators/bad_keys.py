@@ -1,10 +1,10 @@
 """Rules whose verdict depends on other rows: duplicates and references.
 
-Both first reduce the table to its bad keys with an aggregate that combines on the map
-side, and only then go back to the rows. A key that holds a large part of the table is
-one row in that reduction. On the way back it is an ordinary hot key of an equi-join:
-the bad keys are broadcast if they turn out small, otherwise the adaptive skew join
-splits the hot partition. No window ever gathers a whole group in one task.
+Both first reduce the table to one row per key with an aggregate that combines on the map
+side, so a key that holds a large part of the table costs one row there. What follows
+never gathers such a key in one task: hot groups of the duplicate check are ranked in
+salted pieces first, and the way back from bad reference values is an equi-join that
+broadcasts them if they turn out small and otherwise splits hot partitions at run time.
 """
 
 from __future__ import annotations
@@ -12,12 +12,17 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assaylake.functions.sizing import fits_broadcast
 from assaylake.operators.rules import quote
 
+# Rows of one group that a single task may rank; larger groups are ranked in pieces.
+HOT_ROWS = 1_000_000
+# A group is only hot if it holds more than one of this many parts of the table, so there
+# are fewer hot groups than this, whatever the table's size.
+MOST_HOT_GROUPS = 20_000
 # Copies of one identical row are written out in pieces of this many.
 COPIES_PER_PIECE = 100_000
 
@@ -29,51 +34,57 @@ def _same(left: list[Column], right: list[Column]) -> Column:
 
 
 def superseded(
-    df: DataFrame,
-    columns: list[str],
-    order: str | None,
-    key: str,
-    unique_key: bool = True,
-    materialize: Materialize | None = None,
+    df: DataFrame, columns: list[str], order: str | None, key: str, unique_key: bool = True, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Rows that are not the latest of their group: (record_key, record_value).
 
     The latest row has the greatest `order` value, then the greatest `key`; NULL is
-    smallest. NULL group values form one group. With `unique_key=False` rows that agree
-    in group, order and key are counted, and all but one of the latest are returned.
+    smallest. NULL group values form one group. With `unique_key=False` rows may agree in
+    group, order and key; all but one of the latest such rows are returned.
     """
     groups = [f"_g{i}" for i in range(len(columns))]
-    rank = F.struct("_o", "_k")
+    texts = [F.col(g).cast("string") for g in groups]
+    value = texts[0] if len(texts) == 1 else F.concat_ws(", ", *texts)
     rows = df.select(
         *[F.col(quote(c)).alias(g) for c, g in zip(columns, groups)],
         (F.col(quote(order)) if order else F.lit(None).cast("int")).alias("_o"),
         F.col(quote(key)).alias("_k"),
     )
-    copies = F.lit(1)
-    if not unique_key:
-        rows = rows.groupBy(*groups, "_o", "_k").agg(F.count(F.lit(1)).alias("_n"))
-        copies = F.col("_n")
-
+    losers = _ranked(rows, groups, hot_rows) if unique_key else _counted(rows, groups)
+    return losers.select(F.col("_k").cast("string").alias("record_key"), value.alias("record_value"))
+
+
+def _ranked(rows: DataFrame, groups: list[str], hot_rows: int) -> DataFrame:
+    """Losers by rank. Hot groups are ranked in pieces by key, then their best rows once more."""
+    newest = [F.col("_o").desc(), F.col("_k").desc()]
+    place = F.row_number().over(Window.partitionBy(*groups, "_piece").orderBy(*newest))
+    sizes = rows.groupBy(*[F.col(g).alias(f"_h{g}") for g in groups]).agg(F.count(F.lit(1)).alias("_size"))
+    total = rows.agg(F.count(F.lit(1))).scalar()
+    large = (F.col("_size") > hot_rows) & (F.col("_size") > total / MOST_HOT_GROUPS)
+    pieces = F.ceil(F.col("_size") / hot_rows).alias("_pieces")
+    hot = F.broadcast(sizes.filter(large).select(*[f"_h{g}" for g in groups], pieces))
+    is_hot = _same([F.col(g) for g in groups], [F.col(f"_h{g}") for g in groups])
+    piece = F.pmod(F.xxhash64("_k"), F.col("_pieces")).alias("_piece")
+
+    split = rows.join(hot, is_hot, "left").select(*rows.columns, piece)  # NULL: not split
+    losers = split.withColumn("_place", place).filter("_place > 1")
+    best = rows.join(hot, is_hot).select(*rows.columns, piece).withColumn("_place", place).filter("_place = 1")
+    again = best.withColumn("_place", F.row_number().over(Window.partitionBy(*groups).orderBy(*newest)))
+    return losers.select(*rows.columns).union(again.filter("_place > 1").select(*rows.columns))
+
+
+def _counted(rows: DataFrame, groups: list[str]) -> DataFrame:
+    """Losers by count: equal rows become one row with a count before anything is compared."""
+    rank = F.struct("_o", "_k")
+    distinct = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_n"))
     repeated = (
-        rows.groupBy(*[F.col(g).alias(f"_d{g}") for g in groups])
-        .agg(F.max(rank).alias("_latest"), F.sum(copies).alias("_size"))
+        distinct.groupBy(*[F.col(g).alias(f"_d{g}") for g in groups])
+        .agg(F.max(rank).alias("_latest"), F.sum("_n").alias("_size"))
         .filter("_size > 1")
-        .drop("_size")
     )
-    if materialize:
-        repeated = materialize(repeated)
-
-    joined = rows.join(repeated, _same([F.col(g) for g in groups], [F.col(f"_d{g}") for g in groups]))
-    latest = rank.eqNullSafe(F.col("_latest"))
-    texts = [F.col(g).cast("string") for g in groups]
-    shown = [
-        F.col("_k").cast("string").alias("record_key"),
-        (texts[0] if len(texts) == 1 else F.concat_ws(", ", *texts)).alias("record_value"),
-    ]
-    if unique_key:
-        return joined.filter(~latest).select(*shown)
-    surplus = joined.select(*shown, (F.col("_n") - latest.cast("long")).alias("_n")).filter("_n > 0")
-    return repeat_rows(surplus, "_n")
+    joined = distinct.join(repeated, _same([F.col(g) for g in groups], [F.col(f"_d{g}") for g in groups]))
+    surplus = F.col("_n") - rank.eqNullSafe(F.col("_latest")).cast("long")
+    return repeat_rows(joined.select(*rows.columns, surplus.alias("_n")).filter("_n > 0"), "_n")
 
 
 def repeat_rows(df: DataFrame, count: str) -> DataFrame:

@@ -167,7 +167,7 @@ def _violations(df, check: Check, as_of, find: Tables, unique_key, materialize)
             f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {by} ORDER BY {newest}) AS _place "
             f"FROM {feed.table_nm} WHERE dq_status IS NULL) WHERE _place > 1"
         )
-        return superseded(df, feed.inputs, order, feed.record_key_nm, unique_key, materialize), sql
+        return superseded(df, feed.inputs, order, feed.record_key_nm, unique_key), sql
     reference = find(feed.dq_rule_input_join_tbl)
     if not feed.dq_rule_input_join_col:
         raise FeedError("a lookup needs a reference column")

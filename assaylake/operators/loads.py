@@ -73,7 +73,7 @@ def load_key(prefix: str) -> Column:
     return F.concat(F.lit(f"{prefix}:"), F.monotonically_increasing_id().cast("string"))
 
 
-def dense_key(df: DataFrame, key: str, name: str, start: int = 0, digits: int = 3) -> DataFrame:
+def dense_key(df: DataFrame, key: str, name: str, start: int = 0, digits: int = 4) -> DataFrame:
     """Gap-free numbers start+1 .. start+n, in the order of (hash bucket of the key, key).
 
     Rows are numbered inside hash buckets, and each bucket starts after the rows of the

@@ -10,6 +10,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from assaylake.functions.columns import FAIL
 from assaylake.operators.evaluate import Evaluation, evaluate, merge_status, pending_rows, score_rows
 from assaylake.operators.rules import Check
 from assaylake.operators.summary import failed_records, gate
@@ -60,9 +61,12 @@ def run_checks(
         else:
             scored = merge_status(marked, found, outcome.key)
         seen = Observation()
-        scored = scored.observe(seen, F.count_if("_pending").alias("total"), F.count(F.lit(1)).alias("rows"))
+        failing = F.col("_pending") & (F.col("dq_status") == FAIL)
+        scored = scored.observe(seen, F.count_if("_pending").alias("total"), F.count_if(failing).alias("failed"))
         lake.replace_pending(layer, table, scored.select(*as_schema(schema).names), last)
-        total, failed = seen.get["total"], failed_records(found).first()["failed_count"]
+        total, failed = seen.get["total"], seen.get["failed"]
+        if not unique_key:  # several rows may share a failed key
+            failed = failed_records(found).first()["failed_count"]
 
         errors = [log(c.feed.domain, c.feed.feed_id, message, 0, 0, "Fail") for c, message in outcome.errors]
         log_rows(lake, [*errors, log(None, None, None, total, failed, "Success")])

@@ -144,7 +144,7 @@ RULES = [
         5,
         "GN_Timeliness",
         "Date is at most 365 days old",
-        "datediff(${AS_OF}, try_cast(${INPUT1} AS DATE)) > 365",
+        "datediff(${AS_OF}, try_cast(${COL1} AS DATE)) > 365",
         "SIMPLE",
     ),
     Rule(10, 7, "GN_RefIntegrity", "Parent row exists", "", "COMPLEX"),
