@@ -10,6 +10,7 @@ from assaylake.catalog.inputs import (
     EVENT_FEEDS,
     EVENT_RESULTS_SQL,
     LINE_RESULTS_SQL,
+    LINES_SQL,
     PART_RESULTS_SQL,
     check_events,
     check_lines,
@@ -170,8 +171,7 @@ QUERIES = {
     "reject_records": (reject_records, (
         "SELECT table_nm, r.record_key, string_agg('RULE_' || rule_id || '_FEED_' || feed_id, ',' ORDER BY "
         "'RULE_' || rule_id || '_FEED_' || feed_id) AS reject_reasons, any_value(l_returnflag) AS l_returnflag "
-        f"FROM ({LINE_RESULTS_SQL}) r JOIN (SELECT *, concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) "
-        "AS row_key FROM lineitem) l ON r.record_key = l.row_key WHERE result = 'FAIL' GROUP BY ALL")),
+        f"FROM ({LINE_RESULTS_SQL}) r JOIN {LINES_SQL} ON r.record_key = l.row_key WHERE result = 'FAIL' GROUP BY ALL")),
     "step_plan": (step_plan, (
         "SELECT run_id, CAST(failed_step_id AS BIGINT) AS failed_step_id, CAST(s.i AS BIGINT) AS step_id, "
         "s.n AS step_name, CAST(s.o AS DOUBLE) AS step_order FROM ("

@@ -84,8 +84,9 @@ def check(
 
 
 def lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Line items with a key of their own (order, line, part and supplier identify a row)."""
-    key = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    """Line items with a key of their own (order, line, part, supplier and day identify a row)."""
+    day = F.unix_date(F.col("l_shipdate").cast("date"))
+    key = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", day)
     return table(spark, folder, "lineitem").withColumn("row_key", key)
 
 
@@ -124,9 +125,11 @@ def union_sql(*parts: str) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-LINES_SQL = (
-    "(SELECT *, concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS row_key FROM lineitem) AS l"
+KEYED_LINES_SQL = (
+    "(SELECT *, concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, "
+    "date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE))) AS row_key FROM lineitem)"
 )
+LINES_SQL = KEYED_LINES_SQL + " AS l"
 PART_RESULTS_SQL = union_sql(
     violation_sql("part", 2, 1001, "p_partkey", "p_type", "FAIL", "part", "trim(coalesce(p_type, '')) = ''"),
     violation_sql("part", 4, 1002, "p_partkey", "p_size", "PASS-SOFT", "part",
