@@ -34,13 +34,20 @@ def _same(left: list[Column], right: list[Column]) -> Column:
 
 
 def superseded(
-    df: DataFrame, columns: list[str], order: str | None, key: str, unique_key: bool = True, hot_rows: int = HOT_ROWS
+    df: DataFrame,
+    columns: list[str],
+    order: str | None,
+    key: str,
+    unique_key: bool = True,
+    hot_rows: int = HOT_ROWS,
+    report: Column | None = None,
 ) -> DataFrame:
     """Rows that are not the latest of their group: (record_key, record_value).
 
     The latest row has the greatest `order` value, then the greatest `key`; NULL is
-    smallest. NULL group values form one group. With `unique_key=False` rows may agree in
-    group, order and key; all but one of the latest such rows are returned.
+    smallest. NULL group values form one group. Of rows that agree in group, order and key
+    all but one of the latest are returned; `unique_key=False` says that such copies may
+    be a large part of the table. `report` limits the output, not the comparison.
     """
     groups = [f"_g{i}" for i in range(len(columns))]
     texts = [F.col(g).cast("string") for g in groups]
@@ -49,17 +56,20 @@ def superseded(
         *[F.col(quote(c)).alias(g) for c, g in zip(columns, groups)],
         (F.col(quote(order)) if order else F.lit(None).cast("int")).alias("_o"),
         F.col(quote(key)).alias("_k"),
+        (F.lit(True) if report is None else report).alias("_shown"),
     )
     losers = _ranked(rows, groups, hot_rows) if unique_key else _counted(rows, groups)
-    return losers.select(F.col("_k").cast("string").alias("record_key"), value.alias("record_value"))
+    shown = losers.filter("_shown") if report is not None else losers
+    return shown.select(F.col("_k").cast("string").alias("record_key"), value.alias("record_value"))
 
 
 def _ranked(rows: DataFrame, groups: list[str], hot_rows: int) -> DataFrame:
     """Losers by rank. Hot groups are ranked in pieces by key, then their best rows once more."""
     newest = [F.col("_o").desc(), F.col("_k").desc()]
     place = F.row_number().over(Window.partitionBy(*groups, "_piece").orderBy(*newest))
-    sizes = rows.groupBy(*[F.col(g).alias(f"_h{g}") for g in groups]).agg(F.count(F.lit(1)).alias("_size"))
     total = rows.agg(F.count(F.lit(1))).scalar()
+    countable = rows.filter(total > hot_rows)  # a smaller table has no hot group
+    sizes = countable.groupBy(*[F.col(g).alias(f"_h{g}") for g in groups]).agg(F.count(F.lit(1)).alias("_size"))
     large = (F.col("_size") > hot_rows) & (F.col("_size") > total / MOST_HOT_GROUPS)
     pieces = F.ceil(F.col("_size") / hot_rows).alias("_pieces")
     hot = F.broadcast(sizes.filter(large).select(*[f"_h{g}" for g in groups], pieces))
@@ -74,8 +84,11 @@ def _ranked(rows: DataFrame, groups: list[str], hot_rows: int) -> DataFrame:
 
 
 def _counted(rows: DataFrame, groups: list[str]) -> DataFrame:
-    """Losers by count: equal rows become one row with a count before anything is compared."""
-    rank = F.struct("_o", "_k")
+    """Losers by count: equal rows become one row with a count before anything is compared.
+
+    A reported copy loses against an unreported one.
+    """
+    rank = F.struct("_o", "_k", ~F.col("_shown"))
     distinct = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_n"))
     repeated = (
         distinct.groupBy(*[F.col(g).alias(f"_d{g}") for g in groups])

@@ -61,14 +61,17 @@ def evaluate(
     as_of: str,
     tables: Mapping[str, DataFrame] | Tables | None = None,
     unique_key: bool = True,
+    duplicates_among: str = "pending",
     materialize: Materialize | None = None,
 ) -> Evaluation:
     """One row per violation of any check on the pending rows of `df`.
 
     All expression checks share one scan. A check that does not analyse is reported in
     `errors` and left out. `unique_key` states that the record key identifies a row.
+    Duplicates are looked for among the pending rows, or among "all" rows.
     """
     checks = list(checks)
+    compared = df if duplicates_among == "all" and "dq_status" in df.columns else None
     source = pending_rows(df)
     find = table_lookup(tables)
     errors: list[tuple[Check, str]] = []
@@ -81,7 +84,7 @@ def evaluate(
             if check.kind == "expression":
                 conditions.append((check, *failing_condition(source, check, as_of)))
             else:
-                others.append((check, *_violations(source, check, as_of, find, unique_key, materialize)))
+                others.append((check, *_violations(source, check, as_of, find, unique_key, materialize, compared)))
             usable.append(check)
         except (FeedError, PySparkException) as error:
             errors.append((check, str(error)))
@@ -150,7 +153,7 @@ def _with_feed(hits: DataFrame, checks: list[tuple[Check, str]], batch_id: str,
     )
 
 
-def _violations(df, check: Check, as_of, find: Tables, unique_key, materialize) -> tuple[DataFrame, str]:
+def _violations(df, check: Check, as_of, find: Tables, unique_key, materialize, compared) -> tuple[DataFrame, str]:
     """Violations of a check that looks at more than one row, and a query that shows them."""
     feed = check.feed
     key = quote(feed.record_key_nm)
@@ -162,11 +165,15 @@ def _violations(df, check: Check, as_of, find: Tables, unique_key, materialize)
         if order:
             need_columns(df, [order])
         by = ", ".join(quote(c) for c in feed.inputs)
+        inner, outer = ("WHERE dq_status IS NULL", "") if compared is None else ("", " AND dq_status IS NULL")
         newest = f"{quote(order)} DESC, {key} DESC" if order else f"{key} DESC"
         sql = (
             f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {by} ORDER BY {newest}) AS _place "
-            f"FROM {feed.table_nm} WHERE dq_status IS NULL) WHERE _place > 1"
+            f"FROM {feed.table_nm} {inner}) WHERE _place > 1{outer}"
         )
+        if compared is not None:
+            new = F.col("dq_status").isNull()
+            return superseded(compared, feed.inputs, order, feed.record_key_nm, unique_key, report=new), sql
         return superseded(df, feed.inputs, order, feed.record_key_nm, unique_key), sql
     reference = find(feed.dq_rule_input_join_tbl)
     if not feed.dq_rule_input_join_col:
@@ -222,16 +229,15 @@ def merge_status(df: DataFrame, results: DataFrame, key: str, status: str = "dq_
     """Write statuses back: pending rows with violations get the worst one, the rest PASS.
 
     Rows that already have a status keep it. A row with a NULL key matches no violation
-    and becomes PASS; such rows are spread by a hash of their content in the join.
+    and becomes PASS without taking part in the join.
     """
+    column = F.col(quote(key))
+    base = df if status in df.columns else df.withColumn(status, F.lit(None).cast("string"))
     worst = worst_by_record(results.filter("record_key is not null")).withColumnRenamed("record_key", "_record")
-    text = F.col(quote(key)).cast("string")
-    spread = F.concat(F.lit("\0"), F.xxhash64(*df.columns).cast("string"))
-    current = F.col(status) if status in df.columns else F.lit(None).cast("string")
-    merged = df.withColumn("_key", F.coalesce(text, spread)).join(worst, F.col("_key") == F.col("_record"), "left")
-    return merged.withColumn(status, F.coalesce(current, "computed_status", F.lit(PASS))).drop(
-        "_key", "_record", "computed_status"
-    )
+    keyed = base.filter(column.isNotNull()).join(worst, column.cast("string") == F.col("_record"), "left")
+    merged = keyed.withColumn(status, F.coalesce(status, "computed_status", F.lit(PASS))).select(*base.columns)
+    unkeyed = base.filter(column.isNull()).withColumn(status, F.coalesce(status, F.lit(PASS)))
+    return merged.unionByName(unkeyed)
 
 
 def score_rows(df: DataFrame, outcome: Evaluation, status: str = "dq_status") -> DataFrame:

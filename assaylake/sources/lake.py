@@ -25,26 +25,28 @@ class Lake:
 
     # --- listing (metadata only) -------------------------------------------------------
 
-    def _list(self, path: str) -> list[str]:
+    def _glob(self, pattern: str) -> list[list[str]]:
+        """Last path elements of what matches, split at the table's directory."""
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        fs = target.getFileSystem(conf)
-        return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
+        target = jvm.org.apache.hadoop.fs.Path(pattern)
+        found = target.getFileSystem(conf).globStatus(target)
+        return [s.getPath().toString().split("/") for s in found] if found else []
 
-    def _numbers(self, path: str, kind: str, committed: bool = True) -> list[int]:
-        found = [n for n in self._list(path) if n.startswith(f"{kind}=")]
-        if committed:
-            found = [n for n in found if "_SUCCESS" in self._list(f"{path}/{n}")]
-        return sorted(int(n.split("=")[1]) for n in found)
+    def _numbers(self, pattern: str, kind: str, depth: int = 1) -> list[int]:
+        """Numbers of the `kind=N` elements, `depth` levels above the end of the matches."""
+        return sorted({int(m[-depth][len(kind) + 1 :]) for m in self._glob(pattern)})
 
     def _table(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer.lower()}/{table.lower()}"
 
     def _generations(self, path: str) -> list[int]:
-        return [g for g in self._numbers(path, "g", committed=False) if self._numbers(f"{path}/g={g:06d}", "p")]
+        return self._numbers(f"{path}/g=*/p=*/_SUCCESS", "g", 3)
+
+    def _committed(self, base: str, kind: str) -> list[int]:
+        return self._numbers(f"{base}/{kind}=*/_SUCCESS", kind, 2)
 
     def _next(self, path: str, kind: str) -> int:
-        return max(self._numbers(path, kind, committed=False), default=0) + 1
+        return max(self._numbers(f"{path}/{kind}=*", kind), default=0) + 1
 
     # --- writing -----------------------------------------------------------------------
 
@@ -77,9 +79,9 @@ class Lake:
         base = self._newest(layer, table)
         if base is None:
             return [], []
-        scored = self._numbers(base, "s")
+        scored = self._committed(base, "s")
         done = max(scored, default=0)
-        pending = [p for p in self._numbers(base, "p") if p > done]
+        pending = [p for p in self._committed(base, "p") if p > done]
         return [f"{base}/s={n:06d}" for n in scored], [f"{base}/p={n:06d}" for n in pending]
 
     def _load(self, paths: list[str], schema) -> DataFrame:
@@ -104,8 +106,9 @@ class Lake:
         """(current, closed) versions: current ones of the newest generation, closed ones of all."""
         path = self._table(layer, table)
         parts = [f"{path}/g={g:06d}/p=000001" for g in self._generations(path)]
-        current = [f"{p}/{flag}=true" for p in parts[-1:] if f"{flag}=true" in self._list(p)]
-        closed = [f"{p}/{flag}=false" for p in parts if f"{flag}=false" in self._list(p)]
+        held = {(m[-3], m[-1]) for m in self._glob(f"{path}/g=*/p=*/{flag}=*")}
+        current = [f"{p}/{flag}=true" for p in parts[-1:] if (p.split("/")[-2], f"{flag}=true") in held]
+        closed = [f"{p}/{flag}=false" for p in parts if (p.split("/")[-2], f"{flag}=false") in held]
         return self._versions(current, schema, flag, True), self._versions(closed, schema, flag, False)
 
     def _versions(self, paths: list[str], schema, flag: str, value: bool) -> DataFrame:
