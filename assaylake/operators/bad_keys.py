@@ -2,9 +2,10 @@
 
 Both first reduce the table to one row per key with an aggregate that combines on the map
 side, so a key that holds a large part of the table costs one row there. What follows
-never gathers such a key in one task: hot groups of the duplicate check are ranked in
-salted pieces first, and the way back from bad reference values is an equi-join that
-broadcasts them if they turn out small and otherwise splits hot partitions at run time.
+never gathers such a key in one task: rows of hot groups are compared in place with the
+broadcast latest row of their group, and the way back from bad reference values is an
+equi-join that broadcasts them if they turn out small and otherwise splits hot partitions
+at run time.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from assaylake.functions.sizing import fits_broadcast
 from assaylake.operators.rules import quote
 
-# Rows of one group that a single task may rank; larger groups are ranked in pieces.
+# Rows of one group that a single task may rank.
 HOT_ROWS = 1_000_000
 # A group is only hot if it holds more than one of this many parts of the table, so there
 # are fewer hot groups than this, whatever the table's size.
@@ -64,23 +65,39 @@ def superseded(
 
 
 def _ranked(rows: DataFrame, groups: list[str], hot_rows: int) -> DataFrame:
-    """Losers by rank. Hot groups are ranked in pieces by key, then their best rows once more."""
-    newest = [F.col("_o").desc(), F.col("_k").desc()]
-    place = F.row_number().over(Window.partitionBy(*groups, "_piece").orderBy(*newest))
+    """Losers of ordinary groups by rank, of hot groups by comparison with their broadcast latest row.
+
+    Rows of hot groups are neither shuffled nor sorted: there are few such groups, and
+    their latest rows come from aggregates that combine on the map side.
+    """
+    held = [f"_h{g}" for g in groups]
+    same_group = _same([F.col(g) for g in groups], [F.col(h) for h in held])
+    same_order = F.col("_o").eqNullSafe(F.col("_ho"))
+    same_key = F.col("_k").eqNullSafe(F.col("_hk"))
+
     total = rows.agg(F.count(F.lit(1))).scalar()
     countable = rows.filter(total > hot_rows)  # a smaller table has no hot group
-    sizes = countable.groupBy(*[F.col(g).alias(f"_h{g}") for g in groups]).agg(F.count(F.lit(1)).alias("_size"))
+    sizes = countable.groupBy(*[F.col(g).alias(h) for g, h in zip(groups, held)]).agg(
+        F.count(F.lit(1)).alias("_size"), F.max("_o").alias("_ho")
+    )
     large = (F.col("_size") > hot_rows) & (F.col("_size") > total / MOST_HOT_GROUPS)
-    pieces = F.ceil(F.col("_size") / hot_rows).alias("_pieces")
-    hot = F.broadcast(sizes.filter(large).select(*[f"_h{g}" for g in groups], pieces))
-    is_hot = _same([F.col(g) for g in groups], [F.col(f"_h{g}") for g in groups])
-    piece = F.pmod(F.xxhash64("_k"), F.col("_pieces")).alias("_piece")
-
-    split = rows.join(hot, is_hot, "left").select(*rows.columns, piece)  # NULL: not split
-    losers = split.withColumn("_place", place).filter("_place > 1")
-    best = rows.join(hot, is_hot).select(*rows.columns, piece).withColumn("_place", place).filter("_place = 1")
-    again = best.withColumn("_place", F.row_number().over(Window.partitionBy(*groups).orderBy(*newest)))
-    return losers.select(*rows.columns).union(again.filter("_place > 1").select(*rows.columns))
+    hot = F.broadcast(sizes.filter(large).drop("_size"))  # fewer rows than MOST_HOT_GROUPS
+
+    place = F.row_number().over(
+        Window.partitionBy(*groups).orderBy(F.col("_o").desc(), F.col("_k").desc(), "_shown")
+    )
+    ordinary = rows.join(hot, same_group, "left_anti").withColumn("_place", place).filter("_place > 1")
+
+    latest = rows.join(hot, same_group & same_order).groupBy(*held, "_ho").agg(F.max("_k").alias("_hk"))
+    latest = F.broadcast(latest)  # one row per hot group
+    older = rows.join(latest, same_group).filter(~(same_order & same_key))
+    copies = rows.join(latest, same_group & same_order & same_key).groupBy(*groups, "_o", "_k").agg(
+        F.count_if("_shown").alias("_reported"), F.count_if(~F.col("_shown")).alias("_other")
+    )
+    surplus = F.col("_reported") - (F.col("_other") == 0).cast("long")
+    extra = copies.select(*groups, "_o", "_k", F.lit(True).alias("_shown"), surplus.alias("_n")).filter("_n > 0")
+    parts = [part.select(*rows.columns) for part in (ordinary, older, repeat_rows(extra, "_n"))]
+    return parts[0].union(parts[1]).union(parts[2])
 
 
 def _counted(rows: DataFrame, groups: list[str]) -> DataFrame:

@@ -85,7 +85,24 @@ def test_unmatched(spark, threshold, materialize):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_hot_group_is_ranked_in_pieces(spark, monkeypatch):
+def test_hot_group_with_copies_of_its_latest_row(spark, monkeypatch):
+    monkeypatch.setattr(bad_keys, "MOST_HOT_GROUPS", 100)
+    monkeypatch.setattr(bad_keys, "COPIES_PER_PIECE", 7)
+    rows = made(3, unique=False) + [(1, "hot", 60)] * 500
+    df = frame(spark, rows, "k bigint, g string, o int").repartition(5)
+    found = got(superseded(df, ["g"], "o", "k", hot_rows=50))
+    assert found == sorted(brute(rows), key=lambda t: (t[0], t[1] or ""))
+
+
+def test_hot_group_without_order(spark, monkeypatch):
+    monkeypatch.setattr(bad_keys, "MOST_HOT_GROUPS", 100)
+    rows = [(i, g, None) for i, g, _ in made(4)]
+    df = frame(spark, rows, "k bigint, g string, o int")
+    found = got(superseded(df, ["g"], None, "k", hot_rows=50))
+    assert found == sorted(brute(rows), key=lambda t: (t[0], t[1] or ""))
+
+
+def test_hot_group_is_compared_in_place(spark, monkeypatch):
     monkeypatch.setattr(bad_keys, "MOST_HOT_GROUPS", 100)
     df = frame(spark, [(i, "hot", i % 7) for i in range(2000)], "k bigint, g string, o int")
     losers = superseded(df, ["g"], "o", "k", hot_rows=100)
