@@ -7,24 +7,24 @@ from pyspark.sql import functions as F
 from assaylake.catalog.engine import gated
 from assaylake.catalog.inputs import (
     BATCH,
+    CUSTOMER_FEEDS,
     EVENT_FEEDS,
-    EVENT_RESULTS_SQL,
     LINE_RESULTS_SQL,
     LINES_SQL,
+    NATION_FEEDS,
+    PART_FEEDS,
     PART_RESULTS_SQL,
     check_events,
     check_lines,
     check_parts,
+    lines,
 )
 from assaylake.functions.columns import FAIL
 from assaylake.operators import audit
-from assaylake.operators.rules import feed_plan
-from assaylake.operators.summary import latest_log
+from assaylake.operators.summary import current_log, latest_log
 from assaylake.sources.metadata import (
     FEED_SCHEMA,
     RECIPIENT_SCHEMA,
-    RULE_SCHEMA,
-    RULES,
     Step,
     frame,
     step_frame,
@@ -51,8 +51,6 @@ def reject_summary(spark, folder):
 
 def reject_records(spark, folder):
     """Rejected line items with their reasons; one field is read back from the stored content."""
-    from assaylake.catalog.inputs import lines
-
     rejects = audit.reject_records(check_lines(spark, folder).results, lines(spark, folder), "row_key")
     return rejects.select(
         "table_nm", "record_key", F.array_join("reject_reasons", ",").alias("reject_reasons"),
@@ -116,6 +114,10 @@ def step_metrics(spark, folder):
     return audit.step_states(step_events(spark, folder))
 
 
+def run_metrics(spark, folder):
+    return audit.run_states(audit.step_states(step_events(spark, folder)))
+
+
 def latest_run_steps(spark, folder):
     steps = audit.latest_run(audit.step_states(step_events(spark, folder)))
     return steps.select("run_id", "step_id", "step_name", "status", "rows_read", "rows_written", "error_message")
@@ -138,13 +140,20 @@ def daily_log(spark, folder):
     )
 
 
+def current_dq_log(spark, folder):
+    """Every event type is taken as a table with a log row per day: its newest one."""
+    days = table(spark, folder, "events").groupBy(
+        F.col("event_type").alias("table_nm"), F.date_trunc("day", "ts").cast("timestamp_ntz").alias("dq_start_ts")
+    ).agg(F.count(F.lit(1)).alias("overall_count"), F.count_if(F.col("value") > 100).alias("failed_count"))
+    log = days.withColumns({"layer": F.lit("BRONZE"), "dq_batch_id": F.date_format("dq_start_ts", "yyyyMMdd")})
+    return current_log(log)
+
+
 def latest_dq_log(spark, folder):
     return latest_log(daily_log(spark, folder), 20)
 
 
 def alert_rows(spark, folder):
-    from assaylake.catalog.inputs import CUSTOMER_FEEDS, NATION_FEEDS, PART_FEEDS
-
     feeds = frame(spark, PART_FEEDS + CUSTOMER_FEEDS + NATION_FEEDS + EVENT_FEEDS, FEED_SCHEMA)
     domains = feeds.select("table_nm", "domain").distinct()
     return audit.alerts(gated(spark, folder), domains, frame(spark, RECIPIENTS, RECIPIENT_SCHEMA))
@@ -182,6 +191,21 @@ QUERIES = {
         "JOIN (VALUES (1, 'view', 1.0), (2, 'click', 2.0), (3, 'signup', 3.5), (4, 'purchase', 3.0)) AS s(i, n, o) "
         "ON s.o >= f.o WHERE errors > 0")),
     "step_metrics": (step_metrics, _STATES),
+    "run_metrics": (run_metrics, (
+        "SELECT run_id, min(start_ts) AS start_ts, max(end_ts) AS end_ts, "
+        "CAST(sum(rows_read) AS BIGINT) AS total_rows_read, CAST(sum(rows_written) AS BIGINT) AS total_rows_written, "
+        "CAST(sum(rows_rejected) AS BIGINT) AS total_rows_rejected, count(*) AS total_steps, "
+        "CAST(count(*) FILTER (status = 'COMPLETED') AS BIGINT) AS completed_steps, "
+        "min(CASE WHEN status = 'FAILED' THEN step_id END) AS failed_step_id, "
+        "CASE WHEN bool_or(status = 'FAILED') THEN 'FAILED' ELSE 'COMPLETED' END AS run_status, "
+        "date_diff('second', min(start_ts), max(end_ts)) AS duration_seconds "
+        f"FROM ({_STATES}) GROUP BY run_id")),
+    "current_dq_log": (current_dq_log, (
+        "SELECT event_type AS table_nm, CAST(date_trunc('day', ts) AS TIMESTAMP) AS dq_start_ts, count(*) AS "
+        "overall_count, CAST(count(*) FILTER (value > 100) AS BIGINT) AS failed_count, 'BRONZE' AS layer, "
+        "strftime(date_trunc('day', ts), '%Y%m%d') AS dq_batch_id FROM events GROUP BY event_type, "
+        "date_trunc('day', ts) QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY date_trunc('day', ts) "
+        "DESC) = 1")),
     "latest_run_steps": (latest_run_steps, (
         f"SELECT run_id, step_id, step_name, status, rows_read, rows_written, error_message FROM ({_STATES}) "
         f"WHERE run_id = (SELECT run_id FROM ({_STATES}) ORDER BY start_ts DESC, run_id DESC LIMIT 1)")),

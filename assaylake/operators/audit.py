@@ -87,6 +87,26 @@ def step_states(events: DataFrame) -> DataFrame:
     )
 
 
+def run_states(steps: DataFrame) -> DataFrame:
+    """One row per run from its step states: times, row totals, completed steps, first failed step."""
+    failed = F.col("status") == "FAILED"
+    whole = steps.groupBy("run_id").agg(
+        F.min("start_ts").alias("start_ts"),
+        F.max("end_ts").alias("end_ts"),
+        F.sum("rows_read").alias("total_rows_read"),
+        F.sum("rows_written").alias("total_rows_written"),
+        F.sum("rows_rejected").alias("total_rows_rejected"),
+        F.count(F.lit(1)).alias("total_steps"),
+        F.count_if(F.col("status") == "COMPLETED").alias("completed_steps"),
+        F.min(F.when(failed, F.col("step_id"))).alias("failed_step_id"),
+        F.count_if(F.col("status") == "RUNNING").alias("_open"),
+    )
+    state = F.when(F.col("failed_step_id").isNotNull(), "FAILED").when(F.col("_open") > 0, "RUNNING")
+    return whole.withColumn("run_status", state.otherwise("COMPLETED")).withColumn(
+        "duration_seconds", seconds_between(F.col("start_ts"), F.col("end_ts"))
+    ).drop("_open")
+
+
 def latest_run(steps: DataFrame, start: str = "start_ts") -> DataFrame:
     """Steps of the run that started last (not of the greatest run id)."""
     newest = steps.agg(F.max_by("run_id", F.struct(start, "run_id")).alias("_latest"))

@@ -78,7 +78,8 @@ def dense_key(df: DataFrame, key: str, name: str, start: int = 0, digits: int =
 
     Rows are numbered inside hash buckets, and each bucket starts after the rows of the
     buckets before it. The buckets are a fixed number (16 ** digits) of similar size, so
-    the running total over them is small whatever the table's size.
+    the running total over them is small whatever the table's size. `key` must identify a
+    row: repeated or NULL keys would all fall into one bucket (`load_key` has no such need).
     """
     bucket = F.substring(F.md5(F.col(key).cast("string")), 1, digits)
     keyed = df.withColumn("_bucket", F.coalesce(bucket, F.lit("")))

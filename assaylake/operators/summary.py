@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assaylake.functions.columns import FAIL, PASS, SOFT, decode, percent
+from assaylake.operators.loads import keep_latest
 
 DEFAULT_THRESHOLD = Decimal("10.00")
 
@@ -120,6 +121,11 @@ def category_rollup(results: DataFrame, rules: DataFrame, categories: DataFrame)
     )
 
 
+def current_log(log: DataFrame) -> DataFrame:
+    """The newest log row of each layer and table; the log itself is the history."""
+    return keep_latest(log, ["layer", "table_nm"], ["dq_start_ts", "dq_batch_id"])
+
+
 def latest_log(log: DataFrame, k: int = 20) -> DataFrame:
     """The k newest log rows."""
     return log.orderBy(F.col("dq_start_ts").desc(), "dq_batch_id", "table_nm").limit(k)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from assaylake.functions.columns import EPOCH_MARK, decode
-from assaylake.operators.audit import reject_summary
+from assaylake.operators.audit import EVENT_SCHEMA, reject_summary, run_states, step_states
 from assaylake.operators.evaluate import RESULT_SCHEMA
 from assaylake.operators.loads import (
     denormalize,
@@ -26,12 +26,23 @@ from assaylake.operators.loads import (
     version_changes,
     version_source,
 )
-from assaylake.operators.profile import profile_columns
+from assaylake.operators.profile import profile_columns, register_views
 from assaylake.operators.rules import plan_checks
-from assaylake.plans.checks import run_checks
+from assaylake.operators.summary import category_rollup, current_log, status_distribution_all, violations_by_rule
+from assaylake.plans.checks import LOG_SCHEMA, run_checks
 from assaylake.plans.package import run_package
 from assaylake.sources.lake import Lake
-from assaylake.sources.metadata import FEEDS, RULES, SETTINGS, STEPS, as_schema, frame
+from assaylake.sources.metadata import (
+    CATEGORIES,
+    CATEGORY_SCHEMA,
+    FEEDS,
+    RULE_SCHEMA,
+    RULES,
+    SETTINGS,
+    STEPS,
+    as_schema,
+    frame,
+)
 
 # Table layouts.
 RAW_REGISTRY = (
@@ -238,6 +249,28 @@ class ProviderLoad:
         self.lake.append("reject", "reject_summary", reject_summary(own).withColumn("run_id", F.lit(run_id)))
         return {"status": "COMPLETED"}
 
+    # --- monitoring ------------------------------------------------------------------------
+
+    def register_views(self) -> None:
+        """Monitoring reports by name: statuses, failures per rule, dimension totals, current log, step and run states."""
+        lake = self.lake
+        results = lake.read("audit", "dq_result", RESULT_SCHEMA)
+        steps = step_states(lake.read("audit", "step_event", EVENT_SCHEMA).filter("step_id is not null"))
+        register_views({
+            "dq_status": status_distribution_all({
+                "stg_npi_registry": lake.read("bronze", "stg_npi_registry", STG_REGISTRY),
+                "stg_specialty_type": lake.read("bronze", "stg_specialty_type", STG_SPECIALTY),
+                "dim_provider": lake.read("silver", "dim_provider", DIM_PROVIDER),
+            }),
+            "dq_failures": violations_by_rule(results, only_failed=True),
+            "dq_categories": category_rollup(
+                results, frame(lake.spark, self.rules, RULE_SCHEMA), frame(lake.spark, CATEGORIES, CATEGORY_SCHEMA)
+            ),
+            "dq_current_log": current_log(lake.read("audit", "dq_log", LOG_SCHEMA).filter("feed_id is null")),
+            "step_states": steps,
+            "run_states": run_states(steps),
+        })
+
     def steps(self):
         functions = [
             self.stage_registry, self.stage_specialties, self.check_bronze, self.load_dimension, self.check_silver,

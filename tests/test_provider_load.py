@@ -128,6 +128,19 @@ def test_step_events(first):
     assert (bronze["rows_read"], bronze["rows_rejected"]) == (30, 4)
 
 
+def test_views(spark, first):
+    job, result = first
+    job.register_views()
+    failures = {(r["table_nm"], r["rule_id"]): r["cnt"] for r in spark.table("dq_failures").collect()}
+    assert failures == {("stg_npi_registry", 2): 3, ("stg_npi_registry", 4): 1, ("stg_npi_registry", 6): 1,
+                        ("stg_specialty_type", 2): 1}
+    assert spark.table("dq_status").agg(F.sum("cnt")).first()[0] == 42
+    assert spark.table("dq_current_log").count() == 3
+    run = spark.table("run_states").first()
+    assert (run["run_id"], run["run_status"], run["completed_steps"]) == (result["run_id"], "COMPLETED", 8)
+    assert spark.table("dq_categories").filter("category_nm = 'Completeness'").first()["failed_count"] == 4
+
+
 def test_second_runs(spark, tmp_path):
     rows = registry_rows()
     assert load(spark, tmp_path).run("FULL")["status"] == "COMPLETED"
