@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.errors import PySparkException
@@ -261,6 +261,16 @@ def score_rows(df: DataFrame, outcome: Evaluation, status: str = "dq_status") ->
     return joined.withColumn(status, F.coalesce(current, either, F.lit(PASS))).drop("_other")
 
 
+def recorded(outcome: Evaluation, found: DataFrame) -> Evaluation:
+    """The evaluation with its violations taken from where they were written, so that
+    duplicate, lookup and query checks are not computed again for the statuses."""
+    if outcome.joined_results is None:
+        return outcome
+    in_place = [check.feed.feed_id for check, _ in outcome.conditions]
+    others = found.filter(~F.col("feed_id").isin(in_place)) if in_place else found
+    return replace(outcome, results=found, joined_results=others)
+
+
 def reset_status(df: DataFrame, status: str = "dq_status") -> DataFrame:
     """All rows pending again."""
     return df.withColumn(status, F.lit(None).cast("string"))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from assaylake.functions.columns import FAIL
-from assaylake.operators.evaluate import Evaluation, evaluate, merge_status, pending_rows, score_rows
+from assaylake.operators.evaluate import Evaluation, evaluate, merge_status, pending_rows, recorded, score_rows
 from assaylake.operators.rules import Check
 from assaylake.operators.summary import failed_records, gate
 from assaylake.sources.lake import Lake
@@ -56,8 +56,7 @@ def run_checks(
         outcome, found = _record(lake, rows, checks, batch_id, as_of, tables, unique_key)
         marked = rows.withColumn("_pending", F.col("dq_status").isNull())
         if unique_key:
-            joined = _joined(outcome, found)
-            scored = score_rows(marked, replace(outcome, joined_results=joined))
+            scored = score_rows(marked, recorded(outcome, found))
         else:
             scored = merge_status(marked, found, outcome.key)
         seen = Observation()
@@ -76,14 +75,6 @@ def run_checks(
         return {"status": "FAILED", "table": table, "layer": layer, "error": str(error), "threshold_exceeded": True}
 
 
-def _joined(outcome: Evaluation, found: DataFrame) -> DataFrame | None:
-    """Recorded violations of the checks that are not judged row by row."""
-    if outcome.joined_results is None:
-        return None
-    in_place = [check.feed.feed_id for check, _ in outcome.conditions]
-    return found.filter(~F.col("feed_id").isin(in_place)) if in_place else found
-
-
 def _record(lake: Lake, rows, checks, batch_id, as_of, tables, unique_key) -> tuple[Evaluation, DataFrame]:
     """Write the violations. If a check fails at run time, the checks are tried one by one
     and the failing ones are left out, so that one bad feed does not hide the others."""

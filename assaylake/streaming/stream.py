@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from assaylake.operators.evaluate import evaluate, score_rows
+from assaylake.operators.evaluate import evaluate, recorded, score_rows
 from assaylake.operators.rules import Check
 from assaylake.sources.scratch import written_table
 
@@ -31,8 +31,10 @@ def check_stream(
         outcome = evaluate(
             rows, checks, batch_id=f"stream-{number}", as_of=as_of, tables=tables, materialize=written_table
         )
-        outcome.results.write.mode("overwrite").parquet(f"{output}/results/batch={number}")
-        score_rows(rows, outcome).write.mode("overwrite").parquet(f"{output}/rows/batch={number}")
+        place = f"{output}/results/batch={number}"
+        outcome.results.write.mode("overwrite").parquet(place)
+        found = spark.read.schema(outcome.results.schema).parquet(place)
+        score_rows(rows, recorded(outcome, found)).write.mode("overwrite").parquet(f"{output}/rows/batch={number}")
 
     return (
         spark.readStream.schema(schema)
