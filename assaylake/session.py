@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A sort-merge join becomes a hash join where every shuffled partition turns out small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     # Splitting a hot partition is worth a further shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
