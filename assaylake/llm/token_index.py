@@ -10,6 +10,7 @@ executor leaves no half-written ones.
 
 from __future__ import annotations
 
+import os
 import uuid
 import zlib
 
@@ -27,7 +28,8 @@ END_ID = 2  # appended to each document
 SHARD_TOKENS = 500_000  # a shard is closed at so many ids; a longer document has a shard of its own
 RANGE_BYTES = 32_000_000  # text per range partition
 KEYS_PER_BUCKET = 4
-CACHE_WORDS = 400_000  # words whose ids a Python worker remembers; only a memory bound
+TEXTS_AT_ONCE = 256
+CACHE_WORDS = 600_000  # words whose ids a Python worker remembers; only a memory bound
 
 SHARD_SCHEMA = (
     "part int, shard int, n_docs long, n_tokens long, width int, first_key long, last_key long, payload binary, "
@@ -57,12 +59,11 @@ def build_index(keys: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
         starts = np.cumsum(counts) - counts
         free, displacements, slots = np.ones(n, bool), np.zeros(buckets, np.uint32), np.zeros(n, np.int64)
         done = True
-        tries = np.arange(4096, dtype=np.uint64)
         for b in np.argsort(-counts, kind="stable"):
             if counts[b] == 0:
                 break
             own = order[starts[b] : starts[b] + counts[b]]
-            found, base = False, 0
+            found, base, tries = False, 0, np.arange(32, dtype=np.uint64)
             while not found and base < 40 * n + 4096:
                 at = _slot(h[own][None, :], (tries + np.uint64(base))[:, None], n)
                 fits = free[at].all(axis=1)
@@ -74,6 +75,7 @@ def build_index(keys: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
                     displacements[b], slots[own], found = base + good[0], at[good[0]], True
                     free[at[good[0]]] = False
                 base += len(tries)
+                tries = np.arange(min(2 * len(tries), 4096), dtype=np.uint64)
             if not found:
                 done = False
                 break
@@ -108,6 +110,7 @@ _known: dict = {}
 def _encoder(name: str):
     """(tokenizer, ids of remembered words) of this Python worker."""
     if name not in _known:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         import public_tokenizers
         from tokenizers import Tokenizer
 
@@ -122,22 +125,13 @@ def encode(texts: list[str], name: str = TOKENIZER) -> list[bytes]:
     its words in order; words that come again are not encoded again.
     """
     tokenizer, ids = _encoder(name)
-    result = []
-    for text in texts:
-        words = text.split(" ") if "\n" not in text and "\t" not in text else text.replace("\n", " ").replace("\t", " ").split(" ")
-        try:
-            result.append(b"".join([ids[w] for w in words]))
-            continue
-        except KeyError:
-            pass
-        new = list(set(words) - ids.keys())
-        if len(ids) > CACHE_WORDS:
-            ids.clear()
-            new = list(set(words))
-        for word, coded in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            ids[word] = np.array(coded.ids, "<u4").tobytes()
-        result.append(b"".join([ids[w] for w in words]))
-    return result
+    split = [text.replace("\n", " ").replace("\t", " ").split(" ") for text in texts]
+    if len(ids) > CACHE_WORDS:
+        ids.clear()
+    new = list(set().union(*split) - ids.keys())
+    for word, coded in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+        ids[word] = np.array(coded.ids, "<u4").tobytes()
+    return [b"".join([ids[w] for w in words]) for words in split]
 
 
 def _pack(part: int, shard: int, keys: list, payloads: list[np.ndarray], width: int) -> dict:
@@ -193,9 +187,9 @@ def write_shards(
 
         for batch in batches:
             names = batch.column(0).to_pylist()
-            for at in range(0, len(names), 64):
-                texts = batch.column(1).slice(at, 64).to_pylist()
-                for key, ids in zip(names[at : at + 64], encode(texts, tokenizer)):
+            for at in range(0, len(names), TEXTS_AT_ONCE):
+                texts = batch.column(1).slice(at, TEXTS_AT_ONCE).to_pylist()
+                for key, ids in zip(names[at : at + TEXTS_AT_ONCE], encode(texts, tokenizer)):
                     if keys and count + len(ids) // 4 + 1 > shard_tokens:
                         yield closed()
                         shard, keys, payloads, count = shard + 1, [], [], 0
