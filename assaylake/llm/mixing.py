@@ -13,10 +13,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assaylake.llm.common import buckets_for, mix, running_sum, word_count
+from assaylake.llm.common import SPACE_BYTES, buckets_for, mix, running_sum, word_count, word_spans
 from assaylake.sources.scratch import written_table
 from assaylake.sources.tables import table
 
@@ -195,6 +195,26 @@ def mixed_words(mix_: Mixture) -> DataFrame:
     return spread.join(F.broadcast(mix_.sources), "number").select("doc_id", "size", "source_size", "target", "taken")
 
 
+def _cut(text: Column, first: Column, last: Column) -> Column:
+    """The given ranges of a text's words with the white space between; NULL where none are given."""
+
+    @F.arrow_udf("string")
+    def apply(texts: pa.Array, firsts: pa.Array, lasts: pa.Array) -> pa.Array:
+        result = []
+        for text, a, b in zip(texts, firsts, lasts):
+            if not a.is_valid:
+                result.append(None)
+                continue
+            raw = text.as_buffer().to_pybytes()
+            starts, _, _ = word_spans(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+            edges = np.append(starts, len(raw))
+            pieces = [raw[edges[x] : edges[y]] for x, y in zip(a.as_py(), b.as_py())]
+            result.append(b"".join(pieces).strip(bytes(SPACE_BYTES)).decode())
+        return pa.array(result, pa.string())
+
+    return apply(text, first, last)
+
+
 def mixed_documents(docs: DataFrame, mix_: Mixture) -> DataFrame:
     """The mix as documents: the columns of `docs`, one row per document and pass that took words of it.
 
@@ -210,12 +230,9 @@ def mixed_documents(docs: DataFrame, mix_: Mixture) -> DataFrame:
     texts = docs.withColumn("_row", F.xxhash64("text")).dropDuplicates(["doc_id", "_row", "source"])
     joined = texts.join(named, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_h"))
                         & F.col("source").eqNullSafe(F.col("_source")))
-    word = r"[ \t\n\x0B\f\r]*[^ \t\n\x0B\f\r]+[ \t\n\x0B\f\r]*"
-    cut = F.array_join(F.flatten(F.transform("_spans", lambda s: F.slice(
-        F.regexp_extract_all("text", F.lit(word), F.lit(0)), (s.from_word + 1).cast("int"),
-        (s.to_word - s.from_word).cast("int")))), "")
     covered = F.aggregate("_spans", F.lit(0).cast("long"), lambda a, s: a + s.to_word - s.from_word)
-    text = F.when(covered == F.col("_size"), F.col("text")).otherwise(F.btrim(cut))
+    part = lambda name: F.when(covered < F.col("_size"), F.transform("_spans", lambda s: s[name]))
+    text = F.coalesce(_cut(F.col("text"), part("from_word"), part("to_word")), F.col("text"))
     changed = joined.withColumn("text", text)
     if "n_chars" in docs.columns:
         changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

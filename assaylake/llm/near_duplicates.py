@@ -186,14 +186,17 @@ def _groups(batches, names):
 
 
 def _column(group: pa.Table, name: str) -> np.ndarray:
-    return group.column(name).to_numpy()
+    column = group.column(name)
+    if not pa.types.is_list(column.type):
+        return column.to_numpy()
+    return np.concatenate([c.flatten().to_numpy() for c in column.chunks]).reshape(len(column), -1)
 
 
 def _candidates(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (i < j) of a group whose sketches and sizes allow the threshold and that meet here first."""
     rid, n, own = _column(group, "rid"), _column(group, "n").astype(np.int64), _column(group, "own")
     sketch = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(len(rid), MINIMA)
-    meets = np.frombuffer(b"".join(group.column("leaves").to_pylist()), np.int64).reshape(len(rid), RUNS)
+    meets = _column(group, "leaves")
     equal = np.zeros((len(rid), len(rid)), np.int16)
     for k in range(MINIMA):
         equal += sketch[:, k, None] == sketch[None, :, k]
@@ -319,13 +322,13 @@ def classes(docs: DataFrame) -> DataFrame:
         F.min(F.struct("doc_id", "h")).alias("one")))
 
     own = leaves(reps)
-    none = F.array(*[F.lit(NO_KEY).cast("long")] * RUNS)
-    packed = F.aggregate("meets", none, lambda acc, x: F.transform(acc, lambda v, k: F.when(k == x.run, x.leaf).otherwise(v)))
+    at_run = lambda k: F.coalesce(F.max(F.when(F.col("run") == k, F.col("leaf"))), F.lit(NO_KEY))
     by_rid = own.groupBy("rid").agg(
         F.first("n").alias("n"), F.first("m").alias("m"), F.first("sketch").alias("sketch"),
-        F.collect_list(F.struct("run", "leaf", "blocks")).alias("meets"))
-    spread = by_rid.select("rid", "n", "m", "sketch", packed.alias("leaves"), F.explode("meets").alias("x")).select(
-        "rid", "n", "m", "sketch", _packed_longs(F.col("leaves")).alias("leaves"), "x.leaf", "x.blocks")
+        F.array(*[at_run(k) for k in range(RUNS)]).alias("leaves"),
+        F.collect_list(F.struct("leaf", "blocks")).alias("meets"))
+    spread = by_rid.select("rid", "n", "m", "sketch", "leaves", F.explode("meets").alias("x")).select(
+        "rid", "n", "m", "sketch", "leaves", "x.leaf", "x.blocks")
     flagged = written_table(_flagged(_grouped(spread)))
 
     rids = flagged.select("rid").distinct()
@@ -353,26 +356,17 @@ def classes(docs: DataFrame) -> DataFrame:
         F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), F.coalesce("n_texts", F.lit(0).cast("long")).alias("n_texts"))
 
 
-def _packed_longs(column: Column) -> Column:
-    @F.arrow_udf("binary")
-    def apply(lists: pa.Array) -> pa.Array:
-        values = np.asarray(lists.flatten()).astype(np.int64).reshape(len(lists), -1)
-        return pa.array([row.tobytes() for row in values], pa.binary())
-
-    return apply(column)
-
-
 def one_of_each(docs: DataFrame) -> DataFrame:
     """`docs` with one document of each class: the one whose id names it.
 
-    Of rows that repeat an id and text one stays. Classes without any id keep the row with the smallest
-    hash of its text.
+    Of rows that repeat an id and text one stays. Rows without an id stay, once for each text, if their
+    class has no id at all.
     """
     found = classes(docs)
     ranked = found.select("doc_id", "h", "class_id")
     # Where different texts share the id that names a class, the smallest hash decides.
     keepers = ranked.filter("doc_id is not null and doc_id = class_id").groupBy("class_id").agg(F.min("h").alias("h"))
-    nameless = ranked.filter("doc_id is null and class_id is null").select(F.col("class_id"), "h").distinct()
+    nameless = ranked.filter("doc_id is null and class_id is null").select("class_id", "h").distinct()
     keep = keepers.unionByName(nameless).select(F.col("class_id").alias("_id"), F.col("h").alias("_h"))
     times = docs.groupBy("doc_id", F.xxhash64("text").alias("h")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     times = written_table(times.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h")))
