@@ -111,11 +111,9 @@ def disclosing_terms(
     pairs = pairs.groupBy("term", "entity", "h").agg(F.sum("copies").alias("copies"))
     pairs = pairs.groupBy("term", "entity").agg(F.count(F.lit(1)).alias("texts"), F.sum("copies").alias("n_te"))
     pairs = written_table(pairs.filter(F.col("texts") >= least_texts).join(entities, "entity"))
-    candidates = pairs.select("term").distinct()
-    if pairs.count() <= BROADCAST_TERMS:
-        candidates = F.broadcast(candidates)
+    # Counted before the join: near an entity there are also terms that most documents have.
     words = keyed.select(F.explode(F.array_distinct(terms_of(F.col("text")))).alias("term"))
-    totals = words.join(candidates, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    totals = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     n = docs.count()
     information = F.log(F.lit(float(max(n, 1))) / F.col("n_e"))
     mutual = F.log(F.col("n_te") * F.lit(float(max(n, 1))) / (F.col("n_t") * F.col("n_e")))
