@@ -1 +1 @@
-"""Column expressions and sizing helpers."""
+"""Column expressions."""

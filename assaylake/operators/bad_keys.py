@@ -1,54 +1,40 @@
 """Rules whose verdict depends on other rows: duplicates and references.
 
 Both first reduce the table to one row per key with an aggregate that combines on the map
-side, so a key that holds a large part of the table costs one row there. What follows
-never gathers such a key in one task: rows of hot groups are compared in place with the
-broadcast latest row of their group, and the way back from bad reference values is an
-equi-join that broadcasts them if they turn out small and otherwise splits hot partitions
-at run time.
+side, so a key that holds a large part of the table costs one row there. The way back to
+the rows is an equi-join: adaptive execution broadcasts the keys if they turn out few and
+splits hot partitions otherwise, so no key is gathered in one task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assaylake.functions.sizing import fits_broadcast
 from assaylake.operators.rules import quote
 
-# Rows of one group that a single task may rank.
-HOT_ROWS = 1_000_000
-# A group is only hot if it holds more than one of this many parts of the table, so there
-# are fewer hot groups than this, whatever the table's size.
-MOST_HOT_GROUPS = 20_000
 # Copies of one identical row are written out in pieces of this many.
 COPIES_PER_PIECE = 100_000
 
-Materialize = Callable[[DataFrame], DataFrame]
-
 
 def _same(left: list[Column], right: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, [x.eqNullSafe(y) for x, y in zip(left, right)])
 
 
 def superseded(
-    df: DataFrame,
-    columns: list[str],
-    order: str | None,
-    key: str,
-    unique_key: bool = True,
-    hot_rows: int = HOT_ROWS,
-    report: Column | None = None,
+    df: DataFrame, columns: list[str], order: str | None, key: str, report: Column | None = None
 ) -> DataFrame:
     """Rows that are not the latest of their group: (record_key, record_value).
 
     The latest row has the greatest `order` value, then the greatest `key`; NULL is
     smallest. NULL group values form one group. Of rows that agree in group, order and key
-    all but one of the latest are returned; `unique_key=False` says that such copies may
-    be a large part of the table. `report` limits the output, not the comparison.
+    all but one of the latest are returned. `report` limits the output, not the
+    comparison; a reported copy loses against an unreported one.
+
+    The table is read twice: for the latest row of each group that has more than one, and
+    for the rows of those groups. Equal rows are counted before they are written out.
     """
     groups = [f"_g{i}" for i in range(len(columns))]
     texts = [F.col(g).cast("string") for g in groups]
@@ -59,62 +45,19 @@ def superseded(
         F.col(quote(key)).alias("_k"),
         (F.lit(True) if report is None else report).alias("_shown"),
     )
-    losers = _ranked(rows, groups, hot_rows) if unique_key else _counted(rows, groups)
-    shown = losers.filter("_shown") if report is not None else losers
-    return shown.select(F.col("_k").cast("string").alias("record_key"), value.alias("record_value"))
-
-
-def _ranked(rows: DataFrame, groups: list[str], hot_rows: int) -> DataFrame:
-    """Losers of ordinary groups by rank, of hot groups by comparison with their broadcast latest row.
-
-    Rows of hot groups are neither shuffled nor sorted: there are few such groups, and
-    their latest rows come from aggregates that combine on the map side.
-    """
+    rank = F.struct("_o", "_k", ~F.col("_shown"))
     held = [f"_h{g}" for g in groups]
-    same_group = _same([F.col(g) for g in groups], [F.col(h) for h in held])
-    same_order = F.col("_o").eqNullSafe(F.col("_ho"))
-    same_key = F.col("_k").eqNullSafe(F.col("_hk"))
-
-    total = rows.agg(F.count(F.lit(1))).scalar()
-    countable = rows.filter(total > hot_rows)  # a smaller table has no hot group
-    sizes = countable.groupBy(*[F.col(g).alias(h) for g, h in zip(groups, held)]).agg(
-        F.count(F.lit(1)).alias("_size"), F.max("_o").alias("_ho")
-    )
-    large = (F.col("_size") > hot_rows) & (F.col("_size") > total / MOST_HOT_GROUPS)
-    hot = F.broadcast(sizes.filter(large).drop("_size"))  # fewer rows than MOST_HOT_GROUPS
-
-    place = F.row_number().over(
-        Window.partitionBy(*groups).orderBy(F.col("_o").desc(), F.col("_k").desc(), "_shown")
-    )
-    ordinary = rows.join(hot, same_group, "left_anti").withColumn("_place", place).filter("_place > 1")
-
-    latest = rows.join(hot, same_group & same_order).groupBy(*held, "_ho").agg(F.max("_k").alias("_hk"))
-    latest = F.broadcast(latest)  # one row per hot group
-    older = rows.join(latest, same_group).filter(~(same_order & same_key))
-    copies = rows.join(latest, same_group & same_order & same_key).groupBy(*groups, "_o", "_k").agg(
-        F.count_if("_shown").alias("_reported"), F.count_if(~F.col("_shown")).alias("_other")
+    latest = rows.groupBy(*[F.col(g).alias(h) for g, h in zip(groups, held)]).agg(
+        F.max(rank).alias("_latest"), F.count(F.lit(1)).alias("_size")
     )
-    surplus = F.col("_reported") - (F.col("_other") == 0).cast("long")
-    extra = copies.select(*groups, "_o", "_k", F.lit(True).alias("_shown"), surplus.alias("_n")).filter("_n > 0")
-    parts = [part.select(*rows.columns) for part in (ordinary, older, repeat_rows(extra, "_n"))]
-    return parts[0].union(parts[1]).union(parts[2])
-
-
-def _counted(rows: DataFrame, groups: list[str]) -> DataFrame:
-    """Losers by count: equal rows become one row with a count before anything is compared.
-
-    A reported copy loses against an unreported one.
-    """
-    rank = F.struct("_o", "_k", ~F.col("_shown"))
-    distinct = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_n"))
-    repeated = (
-        distinct.groupBy(*[F.col(g).alias(f"_d{g}") for g in groups])
-        .agg(F.max(rank).alias("_latest"), F.sum("_n").alias("_size"))
-        .filter("_size > 1")
+    repeated = rows.join(latest.filter("_size > 1"), _same([F.col(g) for g in groups], [F.col(h) for h in held]))
+    counted = repeated.withColumn("_kept", rank.eqNullSafe(F.col("_latest"))).groupBy(*rows.columns, "_kept").agg(
+        F.count(F.lit(1)).alias("_n")
     )
-    joined = distinct.join(repeated, _same([F.col(g) for g in groups], [F.col(f"_d{g}") for g in groups]))
-    surplus = F.col("_n") - rank.eqNullSafe(F.col("_latest")).cast("long")
-    return repeat_rows(joined.select(*rows.columns, surplus.alias("_n")).filter("_n > 0"), "_n")
+    surplus = F.col("_n") - F.col("_kept").cast("long")
+    losers = counted.filter("_shown").select(F.col("_k").cast("string").alias("record_key"), value.alias("record_value"),
+                                             surplus.alias("_n"))
+    return repeat_rows(losers.filter("_n > 0"), "_n")
 
 
 def repeat_rows(df: DataFrame, count: str) -> DataFrame:
@@ -129,18 +72,12 @@ def repeat_rows(df: DataFrame, count: str) -> DataFrame:
 
 
 def unmatched(
-    df: DataFrame,
-    column: str,
-    reference: DataFrame,
-    reference_column: str,
-    filled_column: str | None,
-    key: str,
-    materialize: Materialize | None = None,
+    df: DataFrame, column: str, reference: DataFrame, reference_column: str, filled_column: str | None, key: str
 ) -> DataFrame:
     """Rows without a usable reference row: (record_key, record_value).
 
     A row fails if its value is NULL, has no reference row, or has one whose
-    `filled_column` is NULL. Each failing row is returned once.
+    `filled_column` is NULL. Each failing row is returned once. NULLs never enter the join.
     """
     filled = filled_column or reference_column
     known = reference.groupBy(F.col(quote(reference_column)).alias("_ref")).agg(
@@ -149,13 +86,5 @@ def unmatched(
     rows = df.select(F.col(quote(key)).cast("string").alias("record_key"), F.col(quote(column)).alias("_v"))
     shown = ["record_key", F.col("_v").cast("string").alias("record_value")]
     bad = ~F.coalesce(F.col("_ok"), F.lit(False))
-    if fits_broadcast(reference):
-        return rows.join(known, F.col("_v") == F.col("_ref"), "left").filter(bad).select(*shown)
-
-    # Large reference: find the bad values first, one row per distinct value.
-    values = rows.filter("_v is not null").groupBy(F.col("_v").alias("_bad")).agg(F.lit(1).alias("_one"))
-    bad_values = values.join(known, F.col("_bad") == F.col("_ref"), "left").filter(bad).select("_bad")
-    if materialize:
-        bad_values = materialize(bad_values)
-    absent = rows.filter("_v is null").select(*shown)
-    return rows.join(bad_values, F.col("_v") == F.col("_bad"), "left_semi").select(*shown).union(absent)
+    joined = rows.filter("_v is not null").join(known.filter("_ref is not null"), F.col("_v") == F.col("_ref"), "left")
+    return joined.filter(bad).select(*shown).union(rows.filter("_v is null").select(*shown))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assaylake.functions.columns import FAIL, PASS, SOFT, any_of, ntz
-from assaylake.operators.bad_keys import Materialize, superseded, unmatched
+from assaylake.operators.bad_keys import superseded, unmatched
 from assaylake.operators.rules import (
     Check,
     FeedError,
@@ -23,6 +23,7 @@ from assaylake.operators.rules import (
     quote,
     table_lookup,
     value_text,
+    waiting_text,
 )
 from assaylake.sources.metadata import frame
 
@@ -43,7 +44,7 @@ class Evaluation:
     results: DataFrame
     checks: list[Check]
     errors: list[tuple[Check, str]]
-    key: str
+    keys: dict[int, str] = field(default_factory=dict)  # record key column of each feed
     conditions: list[tuple[Check, Column]] = field(default_factory=list)
     joined_results: DataFrame | None = None  # violations of the checks that look at other rows
 
@@ -62,13 +63,13 @@ def evaluate(
     tables: Mapping[str, DataFrame] | Tables | None = None,
     unique_key: bool = True,
     duplicates_among: str = "pending",
-    materialize: Materialize | None = None,
 ) -> Evaluation:
     """One row per violation of any check on the pending rows of `df`.
 
     All expression checks share one scan. A check that does not analyse is reported in
-    `errors` and left out. `unique_key` states that the record key identifies a row.
-    Duplicates are looked for among the pending rows, or among "all" rows.
+    `errors` and left out. `unique_key` states that the record keys identify rows, so that
+    statuses may be judged in place. Duplicates are looked for among the pending rows, or
+    among "all" rows.
     """
     checks = list(checks)
     compared = df if duplicates_among == "all" and "dq_status" in df.columns else None
@@ -84,7 +85,7 @@ def evaluate(
             if check.kind == "expression":
                 conditions.append((check, *failing_condition(source, check, as_of)))
             else:
-                others.append((check, *_violations(source, check, as_of, find, unique_key, materialize, compared)))
+                others.append((check, *_violations(source, check, as_of, find, compared)))
             usable.append(check)
         except (FeedError, PySparkException) as error:
             errors.append((check, str(error)))
@@ -101,7 +102,7 @@ def evaluate(
         results=results,
         checks=usable,
         errors=errors,
-        key=checks[0].feed.record_key_nm if checks else "",
+        keys={c.feed.feed_id: c.feed.record_key_nm for c in usable},
         conditions=[(c, condition) for c, condition, _ in conditions],
         joined_results=joined_results,
     )
@@ -122,10 +123,13 @@ def _expression_results(df: DataFrame, conditions, batch_id: str, as_of: str) ->
     ]
     bad = df.filter(any_of(condition for _, condition, _ in conditions))
     exploded = bad.select(F.explode(F.array(*hits)).alias("_hit")).filter("_hit is not null").select("_hit.*")
-    return _with_feed(exploded, [(check, sql) for check, _, sql in conditions], batch_id, as_of, wrap=True)
+    own = [(check, sql) for check, _, sql in conditions]
+    return _with_feed(exploded, own, batch_id, as_of, wrap=True, waiting=waiting_text(df))
 
 
-def _with_feed(hits: DataFrame, checks: list[tuple[Check, str]], batch_id: str, as_of: str, wrap=False) -> DataFrame:
+def _with_feed(
+    hits: DataFrame, checks: list[tuple[Check, str]], batch_id: str, as_of: str, wrap=False, waiting: str = "TRUE"
+) -> DataFrame:
     """Attach what the feed says about a violation; the feed is known by its position."""
 
     def constant(values, kind: str) -> Column:
@@ -134,7 +138,7 @@ def _with_feed(hits: DataFrame, checks: list[tuple[Check, str]], batch_id: str,
         return F.get(F.array(*[F.lit(v).cast(kind) for v in values]), F.col("_pos"))
 
     def evidence(check: Check, sql: str) -> str:
-        return f"SELECT * FROM {check.feed.table_nm} WHERE dq_status IS NULL AND ({sql})" if wrap else sql
+        return f"SELECT * FROM {check.feed.table_nm} WHERE {waiting} AND ({sql})" if wrap else sql
 
     only = [c for c, _ in checks]
     return hits.select(
@@ -153,10 +157,10 @@ def _with_feed(hits: DataFrame, checks: list[tuple[Check, str]], batch_id: str,
     )
 
 
-def _violations(df, check: Check, as_of, find: Tables, unique_key, materialize, compared) -> tuple[DataFrame, str]:
+def _violations(df, check: Check, as_of, find: Tables, compared) -> tuple[DataFrame, str]:
     """Violations of a check that looks at more than one row, and a query that shows them."""
     feed = check.feed
-    key = quote(feed.record_key_nm)
+    key, waiting = quote(feed.record_key_nm), waiting_text(df)
     if check.kind == "query":
         return _query_violations(df, check, as_of, find)
     need_columns(df, feed.inputs)
@@ -165,7 +169,7 @@ def _violations(df, check: Check, as_of, find: Tables, unique_key, materialize,
         if order:
             need_columns(df, [order])
         by = ", ".join(quote(c) for c in feed.inputs)
-        inner, outer = ("WHERE dq_status IS NULL", "") if compared is None else ("", " AND dq_status IS NULL")
+        inner, outer = (f"WHERE {waiting}", "") if compared is None else ("", f" AND {waiting}")
         newest = f"{quote(order)} DESC, {key} DESC" if order else f"{key} DESC"
         sql = (
             f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {by} ORDER BY {newest}) AS _place "
@@ -173,8 +177,8 @@ def _violations(df, check: Check, as_of, find: Tables, unique_key, materialize,
         )
         if compared is not None:
             new = F.col("dq_status").isNull()
-            return superseded(compared, feed.inputs, order, feed.record_key_nm, unique_key, report=new), sql
-        return superseded(df, feed.inputs, order, feed.record_key_nm, unique_key), sql
+            return superseded(compared, feed.inputs, order, feed.record_key_nm, report=new), sql
+        return superseded(df, feed.inputs, order, feed.record_key_nm), sql
     reference = find(feed.dq_rule_input_join_tbl)
     if not feed.dq_rule_input_join_col:
         raise FeedError("a lookup needs a reference column")
@@ -183,24 +187,22 @@ def _violations(df, check: Check, as_of, find: Tables, unique_key, materialize,
     sql = (
         f"SELECT a.* FROM {feed.table_nm} a LEFT JOIN {feed.dq_rule_input_join_tbl} b "
         f"ON a.{quote(feed.inputs[0])} = b.{quote(feed.dq_rule_input_join_col)} "
-        f"WHERE a.dq_status IS NULL AND b.{quote(filled)} IS NULL"
+        f"WHERE {'a.' if waiting != 'TRUE' else ''}{waiting} AND b.{quote(filled)} IS NULL"
     )
-    hits = unmatched(
-        df, feed.inputs[0], reference, feed.dq_rule_input_join_col, filled, feed.record_key_nm, materialize
-    )
-    return hits, sql
+    return unmatched(df, feed.inputs[0], reference, feed.dq_rule_input_join_col, filled, feed.record_key_nm), sql
 
 
 def _query_violations(df: DataFrame, check: Check, as_of, find: Tables) -> tuple[DataFrame, str]:
     """A rule that is a whole query: it yields the key, the input columns and `result`."""
     feed, spark = check.feed, df.sparkSession
-    shown = bind_template(check, feed.table_nm, as_of, feed.dq_rule_input_join_tbl or "")
+    waiting = waiting_text(df)
+    shown = bind_template(check, feed.table_nm, as_of, feed.dq_rule_input_join_tbl or "", waiting)
     views = [f"dq_source_{uuid.uuid4().hex}", f"dq_reference_{uuid.uuid4().hex}"]
     try:
         df.createOrReplaceTempView(views[0])
         if feed.dq_rule_input_join_tbl:
             find(feed.dq_rule_input_join_tbl).createOrReplaceTempView(views[1])
-        answer = spark.sql(bind_template(check, views[0], as_of, views[1]))
+        answer = spark.sql(bind_template(check, views[0], as_of, views[1], waiting))
     finally:
         for view in views:
             spark.catalog.dropTempView(view)
@@ -240,25 +242,48 @@ def merge_status(df: DataFrame, results: DataFrame, key: str, status: str = "dq_
     return merged.unionByName(unkeyed)
 
 
+def merge_statuses(df: DataFrame, results: DataFrame, keys: Mapping[int, str], status: str = "dq_status") -> DataFrame:
+    """`merge_status` where the feeds of a table may name different key columns.
+
+    Violations are joined once for each key column; the worst status wins.
+    """
+    base = df if status in df.columns else df.withColumn(status, F.lit(None).cast("string"))
+    columns = sorted(set(keys.values()))
+    parts = [f"_by_{i}" for i in range(len(columns))]
+    merged = base
+    for column, part in zip(columns, parts):
+        own = [feed for feed, key in keys.items() if key == column]
+        found = results if len(columns) == 1 else results.filter(F.col("feed_id").isin(own))
+        merged = merge_status(merged.withColumn(part, F.lit(None).cast("string")), found, column, part)
+    judged = worst_of(*map(F.col, parts)) if parts else F.lit(PASS)
+    return merged.withColumn(status, F.coalesce(status, judged)).select(*base.columns)
+
+
+def worst_of(*statuses: Column) -> Column:
+    """FAIL over PASS-SOFT over PASS."""
+    return F.when(any_of(s == FAIL for s in statuses), FAIL).when(any_of(s == SOFT for s in statuses), SOFT).otherwise(PASS)
+
+
 def score_rows(df: DataFrame, outcome: Evaluation, status: str = "dq_status") -> DataFrame:
-    """`merge_status` for a unique key: expression checks are judged in place.
+    """`merge_statuses` for unique keys: expression checks are judged in place.
 
     Only violations of duplicate, lookup and query checks are joined; without any, the
-    status is a plain row expression and nothing is shuffled.
+    status is a plain row expression and nothing is shuffled. A violation counts only for
+    rows whose key in that feed is not NULL.
     """
     base = df if status in df.columns else df.withColumn(status, F.lit(None).cast("string"))
-    hard = any_of(c for check, c in outcome.conditions if check.result == FAIL)
-    soft = any_of(c for check, c in outcome.conditions if check.result == SOFT)
-    keyed = F.col(quote(outcome.key)).isNotNull() if outcome.key else F.lit(False)
-    judged = F.when(keyed & hard, FAIL).when(keyed & soft, SOFT).otherwise(PASS)
-    current = F.col(status)
+
+    def hit(result: str) -> Column:
+        keyed = [F.col(quote(c.feed.record_key_nm)).isNotNull() & test for c, test in outcome.conditions if c.result == result]
+        return any_of(keyed)
+
+    judged = F.when(hit(FAIL), FAIL).when(hit(SOFT), SOFT).otherwise(PASS)
     if outcome.joined_results is None:
-        return base.withColumn(status, F.coalesce(current, judged))
-    joined = merge_status(base.withColumn("_other", current), outcome.joined_results, outcome.key, "_other")
-    either = F.when((judged == FAIL) | (F.col("_other") == FAIL), FAIL).when(
-        (judged == SOFT) | (F.col("_other") == SOFT), SOFT
-    )
-    return joined.withColumn(status, F.coalesce(current, either, F.lit(PASS))).drop("_other")
+        return base.withColumn(status, F.coalesce(status, judged))
+    in_place = {check.feed.feed_id for check, _ in outcome.conditions}
+    keys = {feed: key for feed, key in outcome.keys.items() if feed not in in_place}
+    joined = merge_statuses(base.withColumn("_other", F.col(status)), outcome.joined_results, keys, "_other")
+    return joined.withColumn(status, F.coalesce(status, worst_of(judged, F.col("_other")))).drop("_other")
 
 
 def recorded(outcome: Evaluation, found: DataFrame) -> Evaluation:

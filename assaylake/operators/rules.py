@@ -77,7 +77,14 @@ def need_columns(df: DataFrame, columns: Iterable[str]) -> None:
         raise FeedError(f"unknown column(s) {', '.join(missing)}")
 
 
-def bind_template(check: Check, source: str, as_of: str, reference: str = "") -> str:
+def waiting_text(df: DataFrame) -> str:
+    """The condition of a row without a status; every row of a table that keeps none."""
+    return "dq_status IS NULL" if "dq_status" in df.columns else "TRUE"
+
+
+def bind_template(
+    check: Check, source: str, as_of: str, reference: str = "", waiting: str = "dq_status IS NULL"
+) -> str:
     """Replace the ${...} tokens of a rule expression by the feed's columns and parameters."""
     feed = check.feed
     quoted = [quote(c) for c in feed.inputs]
@@ -93,7 +100,7 @@ def bind_template(check: Check, source: str, as_of: str, reference: str = "") ->
         "JOINCOL1": quoted[0],
         "JOINCOL2": feed.dq_rule_input_join_col or "",
         "WHERECOL1": parameter,
-        "INCREMENTAL_DATE_COLUMN": "dq_status IS NULL",
+        "INCREMENTAL_DATE_COLUMN": waiting,
         "AS_OF": f"TIMESTAMP_NTZ '{as_of}'",
         **{f"COL{i}": name for i, name in enumerate(quoted, 1)},
     }
@@ -109,7 +116,7 @@ def bind_template(check: Check, source: str, as_of: str, reference: str = "") ->
 def failing_condition(df: DataFrame, check: Check, as_of: str) -> tuple[Column, str]:
     """The condition of a bad row, analysed against the table's schema, and its SQL text."""
     need_columns(df, check.feed.inputs)
-    text = bind_template(check, check.feed.table_nm, as_of)
+    text = bind_template(check, check.feed.table_nm, as_of, waiting=waiting_text(df))
     kind = df.select(F.expr(text)).schema[0].dataType  # raises AnalysisException for a bad expression
     if isinstance(kind, BooleanType):
         return F.expr(text), text

@@ -137,5 +137,3 @@ def record_drilldown(results: DataFrame, source: DataFrame, key: str, record_key
     rows = source.withColumn("_record", F.col(key).cast("string"))
     return found.join(rows, F.col("record_key") == F.col("_record")).drop("_record")
 
-
-STATUSES = (PASS, SOFT, FAIL)

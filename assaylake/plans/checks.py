@@ -11,12 +11,11 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from assaylake.functions.columns import FAIL
-from assaylake.operators.evaluate import Evaluation, evaluate, merge_status, pending_rows, recorded, score_rows
+from assaylake.operators.evaluate import Evaluation, evaluate, merge_statuses, pending_rows, recorded, score_rows
 from assaylake.operators.rules import Check
 from assaylake.operators.summary import failed_records, gate
 from assaylake.sources.lake import Lake
 from assaylake.sources.metadata import as_schema, frame
-from assaylake.sources.scratch import written_table
 
 LOG_SCHEMA = (
     "dq_batch_id string, layer string, domain string, table_nm string, feed_id bigint, dq_start_ts timestamp_ntz, "
@@ -40,8 +39,14 @@ def run_checks(
     settings: Mapping[str, object],
     tables: Mapping[str, DataFrame] | None = None,
     unique_key: bool = True,
+    fail_closed: bool = False,
 ) -> dict:
-    """Check the pending rows of a table. A run that cannot finish reports FAILED, which stops the package."""
+    """Check the pending rows of a table. A run that cannot finish reports FAILED, which stops the package.
+
+    A feed that cannot be evaluated is logged and left out; the outcome lists the critical
+    ones as `failed_critical_feeds`. With `fail_closed` such a feed fails the run before any
+    status is written.
+    """
     started = datetime.now()
 
     def log(domain, feed_id, message, total, failed, status):
@@ -54,11 +59,16 @@ def run_checks(
             return _outcome(lake, layer, table, batch_id, 0, 0, settings)
 
         outcome, found = _record(lake, rows, checks, batch_id, as_of, tables, unique_key)
+        critical = [check.feed.feed_id for check, _ in outcome.errors if check.result == FAIL]
+        errors = [log(c.feed.domain, c.feed.feed_id, message, 0, 0, "Fail") for c, message in outcome.errors]
+        if critical and fail_closed:
+            log_rows(lake, errors)
+            raise ValueError(f"critical feeds that cannot be evaluated: {critical}")
         marked = rows.withColumn("_pending", F.col("dq_status").isNull())
         if unique_key:
             scored = score_rows(marked, recorded(outcome, found))
         else:
-            scored = merge_status(marked, found, outcome.key)
+            scored = merge_statuses(marked, found, outcome.keys)
         seen = Observation()
         failing = F.col("_pending") & (F.col("dq_status") == FAIL)
         scored = scored.observe(seen, F.count_if("_pending").alias("total"), F.count_if(failing).alias("failed"))
@@ -67,9 +77,8 @@ def run_checks(
         if not unique_key:  # several rows may share a failed key
             failed = failed_records(found).first()["failed_count"]
 
-        errors = [log(c.feed.domain, c.feed.feed_id, message, 0, 0, "Fail") for c, message in outcome.errors]
         log_rows(lake, [*errors, log(None, None, None, total, failed, "Success")])
-        return _outcome(lake, layer, table, batch_id, total, failed, settings)
+        return {**_outcome(lake, layer, table, batch_id, total, failed, settings), "failed_critical_feeds": critical}
     except Exception as error:  # reported to the caller as a failed step
         log_rows(lake, [log(None, None, str(error), 0, 0, "Fail")])
         return {"status": "FAILED", "table": table, "layer": layer, "error": str(error), "threshold_exceeded": True}
@@ -80,10 +89,7 @@ def _record(lake: Lake, rows, checks, batch_id, as_of, tables, unique_key) -> tu
     and the failing ones are left out, so that one bad feed does not hide the others."""
 
     def attempt(chosen: list[Check]) -> tuple[Evaluation, DataFrame]:
-        outcome = evaluate(
-            rows, chosen, batch_id=batch_id, as_of=as_of, tables=tables, unique_key=unique_key,
-            materialize=written_table,
-        )
+        outcome = evaluate(rows, chosen, batch_id=batch_id, as_of=as_of, tables=tables, unique_key=unique_key)
         return outcome, lake.append("audit", "dq_result", outcome.results)
 
     try:
@@ -100,8 +106,7 @@ def _record(lake: Lake, rows, checks, batch_id, as_of, tables, unique_key) -> tu
         if not bad:
             raise
         outcome, found = attempt(good)
-        key = outcome.key or checks[0].feed.record_key_nm
-        return replace(outcome, errors=outcome.errors + bad, key=key), found
+        return replace(outcome, errors=outcome.errors + bad), found
 
 
 def _outcome(lake, layer, table, batch_id, total, failed, settings) -> dict:

@@ -8,7 +8,6 @@ from pyspark.sql.types import StructType
 
 from assaylake.operators.evaluate import evaluate, recorded, score_rows
 from assaylake.operators.rules import Check
-from assaylake.sources.scratch import written_table
 
 
 def check_stream(
@@ -28,9 +27,7 @@ def check_stream(
     """
 
     def handle(rows: DataFrame, number: int) -> None:
-        outcome = evaluate(
-            rows, checks, batch_id=f"stream-{number}", as_of=as_of, tables=tables, materialize=written_table
-        )
+        outcome = evaluate(rows, checks, batch_id=f"stream-{number}", as_of=as_of, tables=tables)
         place = f"{output}/results/batch={number}"
         outcome.results.write.mode("overwrite").parquet(place)
         found = spark.read.schema(outcome.results.schema).parquet(place)

@@ -7,7 +7,6 @@ import pytest
 from assaylake.operators import bad_keys
 from assaylake.operators.bad_keys import repeat_rows, superseded, unmatched
 from assaylake.sources.metadata import frame
-from assaylake.sources.scratch import written_table
 
 
 def made(seed, n=3000, unique=True):
@@ -33,12 +32,10 @@ def got(df):
     return sorted(((r["record_key"], r["record_value"]) for r in df.collect()), key=lambda t: (t[0], t[1] or ""))
 
 
-@pytest.mark.parametrize("hot_rows", [50, 1_000_000])
-def test_superseded_unique_key(spark, monkeypatch, hot_rows):
-    monkeypatch.setattr(bad_keys, "MOST_HOT_GROUPS", 100)
+def test_superseded_unique_key(spark):
     rows = made(1)
     df = frame(spark, rows, "k bigint, g string, o int").repartition(5)
-    found = got(superseded(df, ["g"], "o", "k", hot_rows=hot_rows))
+    found = got(superseded(df, ["g"], "o", "k"))
     assert found == sorted(brute(rows), key=lambda t: (t[0], t[1] or ""))
 
 
@@ -47,7 +44,7 @@ def test_superseded_with_copies(spark, monkeypatch):
     rows = made(2, unique=False)
     rows += [(1, "hot", 60)] * 500  # exact copies of the latest row
     df = frame(spark, rows, "k bigint, g string, o int").repartition(5)
-    found = got(superseded(df, ["g"], "o", "k", unique_key=False))
+    found = got(superseded(df, ["g"], "o", "k"))
     assert found == sorted(brute(rows), key=lambda t: (t[0], t[1] or ""))
 
 
@@ -68,17 +65,16 @@ REFERENCE = [("a", "x"), ("b", None), ("c", "x"), ("c", None), (None, "x")]
 ROWS = [(1, "a"), (2, "b"), (3, "c"), (4, "d"), (5, None), (6, "d"), (7, "d")]
 
 
-@pytest.mark.parametrize("materialize", [None, written_table])
 @pytest.mark.parametrize("threshold", ["10485760", "-1"])
-def test_unmatched(spark, threshold, materialize):
+def test_unmatched(spark, threshold):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
         df, ref = frame(spark, ROWS, "k bigint, v string"), frame(spark, REFERENCE, "r string, w string")
-        assert got(unmatched(df, "v", ref, "r", "w", "k", materialize)) == [
+        assert got(unmatched(df, "v", ref, "r", "w", "k")) == [
             ("2", "b"), ("3", "c"), ("4", "d"), ("5", None), ("6", "d"), ("7", "d"),
         ]
-        assert got(unmatched(df, "v", ref, "r", None, "k", materialize)) == [
+        assert got(unmatched(df, "v", ref, "r", None, "k")) == [
             ("4", "d"), ("5", None), ("6", "d"), ("7", "d"),
         ]
     finally:
@@ -86,26 +82,31 @@ def test_unmatched(spark, threshold, materialize):
 
 
 def test_hot_group_with_copies_of_its_latest_row(spark, monkeypatch):
-    monkeypatch.setattr(bad_keys, "MOST_HOT_GROUPS", 100)
     monkeypatch.setattr(bad_keys, "COPIES_PER_PIECE", 7)
     rows = made(3, unique=False) + [(1, "hot", 60)] * 500
     df = frame(spark, rows, "k bigint, g string, o int").repartition(5)
-    found = got(superseded(df, ["g"], "o", "k", hot_rows=50))
+    found = got(superseded(df, ["g"], "o", "k"))
     assert found == sorted(brute(rows), key=lambda t: (t[0], t[1] or ""))
 
 
-def test_hot_group_without_order(spark, monkeypatch):
-    monkeypatch.setattr(bad_keys, "MOST_HOT_GROUPS", 100)
+def test_hot_group_without_order(spark):
     rows = [(i, g, None) for i, g, _ in made(4)]
     df = frame(spark, rows, "k bigint, g string, o int")
-    found = got(superseded(df, ["g"], None, "k", hot_rows=50))
+    found = got(superseded(df, ["g"], None, "k"))
     assert found == sorted(brute(rows), key=lambda t: (t[0], t[1] or ""))
 
 
-def test_hot_group_is_compared_in_place(spark, monkeypatch):
-    monkeypatch.setattr(bad_keys, "MOST_HOT_GROUPS", 100)
+def test_hot_group_loses_all_but_one(spark):
     df = frame(spark, [(i, "hot", i % 7) for i in range(2000)], "k bigint, g string, o int")
-    losers = superseded(df, ["g"], "o", "k", hot_rows=100)
+    losers = superseded(df, ["g"], "o", "k")
     assert losers.count() == 1999
     latest = max(((i % 7, i) for i in range(2000)))[1]
     assert losers.filter(f"record_key = '{latest}'").count() == 0
+
+
+def test_the_table_is_read_twice(spark, tmp_path):
+    rows = frame(spark, made(5), "k bigint, g string, o int")
+    rows.write.parquet(f"{tmp_path}/t")
+    plan = superseded(spark.read.parquet(f"{tmp_path}/t"), ["g"], "o", "k")._jdf.queryExecution().executedPlan().toString()
+    initial = plan.split("== Initial Plan ==")[-1]
+    assert initial.count("FileScan parquet") <= 2
