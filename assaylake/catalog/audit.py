@@ -21,6 +21,7 @@ from assaylake.catalog.inputs import (
 )
 from assaylake.functions.columns import FAIL
 from assaylake.operators import audit
+from assaylake.operators.evaluate import score_rows
 from assaylake.operators.summary import current_log, latest_log
 from assaylake.sources.metadata import (
     FEED_SCHEMA,
@@ -125,13 +126,9 @@ def latest_run_steps(spark, folder):
 
 def daily_log(spark, folder):
     """A log row per day of the event table: the batch of that day."""
-    events = table(spark, folder, "events")
-    outcome = check_events(spark, folder)
-    failing = outcome.results.filter(F.col("result") == FAIL).select("record_key").distinct()
-    day = F.date_trunc("day", "ts").cast("timestamp_ntz")
-    marked = events.select(F.col("event_id").cast("string").alias("record_key"), day.alias("dq_start_ts")).join(
-        failing.withColumn("_failed", F.lit(True)), "record_key", "left"
-    )
+    scored = score_rows(table(spark, folder, "events"), check_events(spark, folder))
+    marked = scored.select(
+        F.date_trunc("day", "ts").cast("timestamp_ntz").alias("dq_start_ts"), (F.col("dq_status") == FAIL).alias("_failed"))
     return marked.groupBy("dq_start_ts").agg(
         F.count(F.lit(1)).alias("overall_count"), F.count_if("_failed").alias("failed_count")
     ).select(

@@ -14,13 +14,13 @@ from assaylake.operators.audit import source_row_counts
 from assaylake.operators.profile import overlapping_versions
 from assaylake.sources.lake import Lake
 from assaylake.sources.metadata import as_schema, frame
-from assaylake.sources.scratch import checkpoint_dir
+from assaylake.sources.scratch import scratch_dir
 from assaylake.sources.tables import table
 
 MARK = "2024-01-15 00:00:00"
 RUN = "run-2"
 FIRST, SECOND = "1998-01-01 00:00:00", "2001-12-01 00:00:00"
-LATE_FROM = "2000-06-01 00:00:00"
+LATE_FROM = FIRST  # the second load takes over where the first one ended
 STATUS_NAMES = {"O": "Open", "F": "Filled"}
 
 
@@ -55,7 +55,7 @@ def stage_rows(spark, folder):
 
 def full_refresh(spark, folder):
     """Append an increment to a table, then reload it in full: only the reload is left."""
-    lake = Lake(spark, f"{checkpoint_dir(spark)}/lake-{uuid.uuid4().hex}")
+    lake = Lake(spark, f"{scratch_dir(spark)}/lake-{uuid.uuid4().hex}")
     columns = ["event_id", "event_type", "ts"]
     everything = table(spark, folder, "events").select(*columns)
     lake.append("bronze", "events", loaded_events(spark, folder).select(*columns))
@@ -66,7 +66,7 @@ def full_refresh(spark, folder):
 
 def append_rows(spark, folder):
     """Two appended parts read back as one table."""
-    lake = Lake(spark, f"{checkpoint_dir(spark)}/lake-{uuid.uuid4().hex}")
+    lake = Lake(spark, f"{scratch_dir(spark)}/lake-{uuid.uuid4().hex}")
     columns = ["event_id", "event_type", "ts"]
     lake.append("bronze", "events", loaded_events(spark, folder).select(*columns))
     lake.append("bronze", "events", loads.newer_than(table(spark, folder, "events").select(*columns), "ts", MARK))

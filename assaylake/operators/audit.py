@@ -37,15 +37,17 @@ def reject_summary(results: DataFrame, batch_id: str | None = None) -> DataFrame
 def reject_records(results: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Rejected records with all their reasons and their content as JSON.
 
-    A record has at most one reason per feed, so the list is bounded by the metadata.
+    A record has at most one reason per feed, so the list is bounded by the metadata. Only
+    rejected rows are turned into JSON.
     """
     reasons = (
         results.filter((F.col("result") == FAIL) & F.col("record_key").isNotNull())
         .groupBy("table_nm", "record_key")
         .agg(F.array_sort(F.collect_set(reject_reason())).alias("reject_reasons"))
     )
-    data = source.select(F.col(key).cast("string").alias("_record"), F.to_json(F.struct("*")).alias("record_data"))
-    return reasons.join(data, F.col("record_key") == F.col("_record")).drop("_record")
+    data = source.select(F.col(key).cast("string").alias("_record"), F.struct("*").alias("_row"))
+    joined = reasons.join(data, F.col("record_key") == F.col("_record"))
+    return joined.select(*reasons.columns, F.to_json("_row").alias("record_data"))
 
 
 def source_row_counts(source: DataFrame, name: str, loaded_at: str, mark: str) -> DataFrame:

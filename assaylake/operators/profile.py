@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,34 +18,32 @@ def band(score: Column) -> Column:
     return F.when(score >= GREEN_FROM, "GREEN").when(score >= YELLOW_FROM, "YELLOW").otherwise("RED")
 
 
-def profile_columns(df: DataFrame, columns: list[str], exact: bool = False) -> DataFrame:
-    """Row count, NULL %, distinct %, minimum and maximum per column, in one pass.
+def profile_columns(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Row count, NULL %, distinct %, minimum and maximum per column.
 
-    Distinct values are estimated by default: exact counts make one copy of each row per
-    column before the shuffle.
+    Each column is counted by value and these counts are summed up, so a scan reads one
+    column and rows combine before they are shuffled.
     """
-    distinct = F.count_distinct if exact else F.approx_count_distinct
-    measures = [F.count(F.lit(1)).alias("_rows")]
-    for i, name in enumerate(columns):
-        c = F.col(name)
-        measures += [
-            F.count_if(c.isNull()).alias(f"_null{i}"),
-            distinct(c).alias(f"_distinct{i}"),
-            F.min(c).cast("string").alias(f"_min{i}"),
-            F.max(c).cast("string").alias(f"_max{i}"),
-        ]
-    per_column = [
-        F.struct(
+    per_column = []
+    for name in columns:
+        value = F.col("_value")
+        by_value = df.groupBy(F.col(name).alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
+        total = by_value.agg(
+            F.coalesce(F.sum("_n"), F.lit(0)).alias("_rows"),
+            F.coalesce(F.sum(F.when(value.isNull(), F.col("_n"))), F.lit(0)).alias("_nulls"),
+            F.count(value).alias("_distinct"),
+            F.min(value).cast("string").alias("min_value"),
+            F.max(value).cast("string").alias("max_value"),
+        )
+        per_column.append(total.select(
             F.lit(name).alias("column_name"),
             F.col("_rows").alias("row_count"),
-            percent(F.col(f"_null{i}"), F.col("_rows")).alias("null_pct"),
-            percent(F.col(f"_distinct{i}"), F.col("_rows")).alias("distinct_pct"),
-            F.col(f"_min{i}").alias("min_value"),
-            F.col(f"_max{i}").alias("max_value"),
-        )
-        for i, name in enumerate(columns)
-    ]
-    return df.agg(*measures).select(F.inline(F.array(*per_column)))
+            percent(F.col("_nulls"), F.col("_rows")).alias("null_pct"),
+            percent(F.col("_distinct"), F.col("_rows")).alias("distinct_pct"),
+            "min_value",
+            "max_value",
+        ))
+    return reduce(DataFrame.unionByName, per_column)
 
 
 def metric_counts(df: DataFrame, nulls: list[str], lengths: Mapping[str, int], duplicates: list[str]) -> DataFrame:

@@ -2,34 +2,20 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assaylake.functions.columns import EPOCH_MARK, decode
-from assaylake.operators.audit import EVENT_SCHEMA, reject_summary, run_states, step_states
+from assaylake.functions.columns import decode, ntz
+from assaylake.operators.audit import EVENT_SCHEMA, run_states, step_states
 from assaylake.operators.evaluate import RESULT_SCHEMA
-from assaylake.operators.loads import (
-    denormalize,
-    hash_key,
-    high_water_mark,
-    join_reference,
-    keep_latest,
-    layer_gate,
-    load_key,
-    newer_than,
-    stage,
-    upsert,
-    version_changes,
-    version_source,
-)
+from assaylake.operators.loads import denormalize, hash_key, join_reference, keep_latest, layer_gate
 from assaylake.operators.profile import profile_columns, register_views
-from assaylake.operators.rules import plan_checks
 from assaylake.operators.summary import category_rollup, current_log, status_distribution_all, violations_by_rule
-from assaylake.plans.checks import LOG_SCHEMA, run_checks
+from assaylake.plans import steps
+from assaylake.plans.checks import LOG_SCHEMA
 from assaylake.plans.package import run_package
 from assaylake.sources.lake import Lake
 from assaylake.sources.metadata import (
@@ -110,6 +96,7 @@ class ProviderLoad:
     rules: list = field(default_factory=lambda: list(RULES))
     feeds: list = field(default_factory=lambda: list(FEEDS))
     current_only: bool = False
+    fail_closed: bool = False
 
     def enabled(self, name: str) -> bool:
         return str(self.settings.get(name, "FALSE")).upper() == "TRUE"
@@ -117,17 +104,7 @@ class ProviderLoad:
     # --- bronze --------------------------------------------------------------------------
 
     def _stage(self, source: DataFrame, table: str, schema: str, key: str, hashed: list[str], run_id: str, mode: str) -> dict:
-        if mode == "FULL":
-            mark = EPOCH_MARK
-        else:
-            loaded = self.lake.read("bronze", table, schema)
-            mark = str(high_water_mark(loaded, "_source_loaded_at").first()["hwm"])
-        seen = Observation()
-        fresh = newer_than(source, "_loaded_at", mark).observe(seen, F.count(F.lit(1)).alias("n"))
-        rows = stage(fresh, "_loaded_at", hashed, run_id, self.as_of).withColumn(key, load_key(run_id))
-        write = self.lake.replace if mode == "FULL" else self.lake.append
-        write("bronze", table, rows.select(*as_schema(schema).names))
-        return {"status": "COMPLETED", "rows_read": seen.get["n"], "rows_written": seen.get["n"]}
+        return steps.stage_step(self.lake, source, table, schema, key, "_loaded_at", hashed, run_id, mode, self.as_of)
 
     def stage_registry(self, run_id: str, mode: str) -> dict:
         hashed = ["npi_number", "provider_name", "state"]
@@ -140,24 +117,8 @@ class ProviderLoad:
     # --- checks --------------------------------------------------------------------------
 
     def _check(self, layer: str, tables: dict[str, str], run_id: str) -> dict:
-        batch = f"{run_id}:{layer}:{uuid.uuid4().hex[:8]}"
-        results = {
-            table: run_checks(
-                self.lake, layer, table, schema, plan_checks(self.rules, self.feeds, table, layer),
-                batch_id=batch, as_of=self.as_of, settings=self.settings,
-            )
-            for table, schema in tables.items()
-        }
-        totals = {
-            "rows_read": sum(r.get("total_records", 0) for r in results.values()),
-            "rows_rejected": sum(r.get("failed_records", 0) for r in results.values()),
-        }
-        broken = [r["error"] for r in results.values() if r["status"] == "FAILED"]
-        if broken:
-            return {"status": "FAILED", "error": "; ".join(broken), "tables": results, **totals}
-        if any(r["threshold_exceeded"] for r in results.values()):
-            return {"status": "FAILED", "reason": "DQ_THRESHOLD_EXCEEDED", "tables": results, **totals}
-        return {"status": "COMPLETED", "tables": results, **totals}
+        return steps.check_step(
+            self.lake, layer, tables, self.rules, self.feeds, run_id, self.as_of, self.settings, fail_closed=self.fail_closed)
 
     def check_bronze(self, run_id: str, mode: str) -> dict:
         return self._check("BRONZE", {"stg_npi_registry": STG_REGISTRY, "stg_specialty_type": STG_SPECIALTY}, run_id)
@@ -187,32 +148,15 @@ class ProviderLoad:
         )
 
     def load_dimension(self, run_id: str, mode: str) -> dict:
-        target = frame(self.lake.spark, [], DIM_PROVIDER)
-        if mode != "FULL":
-            target = self.lake.read("silver", "dim_provider", DIM_PROVIDER)
-        seen = Observation()
-        source = self.dimension_source(run_id).observe(seen, F.count(F.lit(1)).alias("n"))
-        self.lake.replace("silver", "dim_provider", upsert(target, source, "provider_bk", UPDATED, self.as_of))
-        return {"status": "COMPLETED", "rows_read": seen.get["n"], "rows_written": seen.get["n"]}
+        source = self.dimension_source(run_id)
+        return steps.dimension_step(self.lake, source, "dim_provider", DIM_PROVIDER, "provider_bk", UPDATED, mode, self.as_of)
 
     def track_history(self, run_id: str, mode: str) -> dict:
         if not self.enabled("ENABLE_SCD2"):
             return {"status": "COMPLETED"}
-        seen, counted = Observation(), Observation()
         dimension = self.lake.read("silver", "dim_provider", DIM_PROVIDER)
-        source = version_source(dimension, "provider_bk", TRACKED).observe(seen, F.count(F.lit(1)).alias("n"))
-        current, _ = self.lake.read_history("silver", "scd2_provider_attributes", SCD2_PROVIDER)
-        changes = version_changes(current, source, "provider_bk", run_id, self.as_of).observe(
-            counted,
-            F.count_if(F.col("_run_id") == run_id).alias("opened"),
-            F.count_if(~F.col("_is_current")).alias("closed"),
-        )
-        self.lake.replace("silver", "scd2_provider_attributes", changes, ("_is_current",))
-        opened, closed = counted.get["opened"], counted.get["closed"]
-        return {
-            "status": "COMPLETED", "rows_read": seen.get["n"], "rows_written": opened, "rows_updated": closed,
-            "new_versions": opened, "closed_versions": closed,
-        }
+        return steps.history_step(
+            self.lake, dimension, "scd2_provider_attributes", SCD2_PROVIDER, "provider_bk", TRACKED, run_id, self.as_of)
 
     def history(self) -> DataFrame:
         current, closed = self.lake.read_history("silver", "scd2_provider_attributes", SCD2_PROVIDER)
@@ -232,22 +176,19 @@ class ProviderLoad:
         ]
         dimension = self.lake.read("silver", "dim_provider", DIM_PROVIDER)
         rows = denormalize(self.history(), dimension, "provider_bk", from_history, from_dimension, self.current_only)
-        return rows.withColumnRenamed("provider_bk", "provider_npi").withColumn("_run_id", F.lit(run_id))
+        return rows.withColumnRenamed("provider_bk", "provider_npi").withColumns(
+            {"_loaded_at": ntz(self.as_of), "_run_id": F.lit(run_id)})
 
     def load_fact(self, run_id: str, mode: str) -> dict:
-        seen = Observation()
-        self.lake.replace("gold", "fct_provider_360", self.fact(run_id).observe(seen, F.count(F.lit(1)).alias("n")))
+        done = steps.fact_step(self.lake, "fct_provider_360", self.fact(run_id))
         if self.enabled("ENABLE_DQ_PROFILING"):
             fact = self.lake.read("gold", "fct_provider_360", self.fact(run_id).schema)
             profile = profile_columns(fact, ["provider_npi", "credential", "primary_specialty", "state"])
             self.lake.append("audit", "column_profile", profile.withColumn("run_id", F.lit(run_id)))
-        return {"status": "COMPLETED", "rows_read": seen.get["n"], "rows_written": seen.get["n"]}
+        return done
 
     def summarize_rejects(self, run_id: str, mode: str) -> dict:
-        results = self.lake.read("audit", "dq_result", RESULT_SCHEMA)
-        own = results.filter(F.col("dq_batch_id").startswith(f"{run_id}:"))
-        self.lake.append("reject", "reject_summary", reject_summary(own).withColumn("run_id", F.lit(run_id)))
-        return {"status": "COMPLETED"}
+        return steps.reject_step(self.lake, run_id)
 
     # --- monitoring ------------------------------------------------------------------------
 
@@ -255,7 +196,7 @@ class ProviderLoad:
         """Monitoring reports by name: statuses, failures per rule, dimension totals, current log, step and run states."""
         lake = self.lake
         results = lake.read("audit", "dq_result", RESULT_SCHEMA)
-        steps = step_states(lake.read("audit", "step_event", EVENT_SCHEMA).filter("step_id is not null"))
+        states = step_states(lake.read("audit", "step_event", EVENT_SCHEMA).filter("step_id is not null"))
         register_views({
             "dq_status": status_distribution_all({
                 "stg_npi_registry": lake.read("bronze", "stg_npi_registry", STG_REGISTRY),
@@ -267,8 +208,8 @@ class ProviderLoad:
                 results, frame(lake.spark, self.rules, RULE_SCHEMA), frame(lake.spark, CATEGORIES, CATEGORY_SCHEMA)
             ),
             "dq_current_log": current_log(lake.read("audit", "dq_log", LOG_SCHEMA).filter("feed_id is null")),
-            "step_states": steps,
-            "run_states": run_states(steps),
+            "step_states": states,
+            "run_states": run_states(states),
         })
 
     def steps(self):

@@ -1,6 +1,6 @@
 """The check step on a lake: run-time errors of one feed, growing tables, duplicates among all rows."""
 
-from assaylake.operators.evaluate import evaluate
+from assaylake.operators.evaluate import evaluate, merge_statuses, score_rows
 from assaylake.operators.rules import plan_checks
 from assaylake.plans.checks import LOG_SCHEMA, run_checks
 from assaylake.sources.lake import Lake
@@ -77,3 +77,27 @@ def test_duplicates_among_all_rows(spark):
     assert found() == []
     assert found(duplicates_among="all") == ["5"]
     assert found(duplicates_among="all", unique_key=False) == ["5"]
+
+
+def test_failed_critical_feeds_are_listed_or_close_the_gate(spark, tmp_path):
+    rows = frame(spark, [(1, "x", None), (2, None, None)], SCHEMA)
+    lake = Lake(spark, f"{tmp_path}/open")
+    lake.append("BRONZE", "t", rows)
+    assert sorted(step(lake)["failed_critical_feeds"]) == [1, 3]
+    lake = Lake(spark, f"{tmp_path}/closed")
+    lake.append("BRONZE", "t", rows)
+    result = step(lake, fail_closed=True)
+    assert result["status"] == "FAILED" and result["threshold_exceeded"] and "[3, 1]" in result["error"]
+    assert statuses(lake) == {1: None, 2: None}
+
+
+def test_feeds_with_different_keys(spark):
+    df = frame(spark, [(1, "b", None), (2, "1", None)], SCHEMA)
+    rules = [Rule(1, 1, "", "", "${COL1} = 'b'", "MULTIPLE"), Rule(2, 1, "", "", "", "COMPLEX")]
+    feeds = [Feed(1, "BRONZE", "D", 1, "t", "nothing", None, "v"), Feed(2, "BRONZE", "D", 1, "t", "v", None, "v", "N"),
+             Feed(3, "BRONZE", "D", 2, "t", "k", None, "v", "Y", dq_rule_input_join_tbl="r", dq_rule_input_join_col="v")]
+    reference = frame(spark, [("b",)], "v string")
+    outcome = evaluate(df, plan_checks(rules, feeds, "t", "BRONZE"), batch_id="b", as_of=CLOCK, tables={"r": reference})
+    assert [c.feed.feed_id for c, _ in outcome.errors] == [1]
+    for scored in (score_rows(df, outcome), merge_statuses(df, outcome.results, outcome.keys)):
+        assert {r["k"]: r["dq_status"] for r in scored.collect()} == {1: "PASS-SOFT", 2: "FAIL"}
