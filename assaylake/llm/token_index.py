@@ -13,6 +13,8 @@ from __future__ import annotations
 import os
 import uuid
 import zlib
+from array import array
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +30,7 @@ END_ID = 2  # appended to each document
 SHARD_TOKENS = 500_000  # a shard is closed at so many ids; a longer document has a shard of its own
 RANGE_BYTES = 32_000_000  # text per range partition
 KEYS_PER_BUCKET = 4
+DIRECT = 1 << 31  # a bucket with one key names its place
 TEXTS_AT_ONCE = 256
 CACHE_WORDS = 600_000  # words whose ids a Python worker remembers; only a memory bound
 
@@ -44,7 +47,9 @@ def _hash(keys: np.ndarray, seed: int) -> np.ndarray:
 
 
 def _slot(h: np.ndarray, displacement: np.ndarray, n: int) -> np.ndarray:
-    return (mix(h + displacement.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(n)).astype(np.int64)
+    """Place of a key; a displacement from DIRECT on is the place itself."""
+    moved = (mix(h + displacement.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(n)).astype(np.int64)
+    return np.where(displacement >= DIRECT, displacement.astype(np.int64) - DIRECT, moved)
 
 
 def build_index(keys: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
@@ -60,16 +65,15 @@ def build_index(keys: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
         free, displacements, slots = np.ones(n, bool), np.zeros(buckets, np.uint32), np.zeros(n, np.int64)
         done = True
         for b in np.argsort(-counts, kind="stable"):
-            if counts[b] == 0:
+            if counts[b] < 2:
                 break
             own = order[starts[b] : starts[b] + counts[b]]
             found, base, tries = False, 0, np.arange(32, dtype=np.uint64)
             while not found and base < 40 * n + 4096:
                 at = _slot(h[own][None, :], (tries + np.uint64(base))[:, None], n)
                 fits = free[at].all(axis=1)
-                if counts[b] > 1:
-                    ordered = np.sort(at, axis=1)
-                    fits &= (ordered[:, 1:] != ordered[:, :-1]).all(axis=1)
+                ordered = np.sort(at, axis=1)
+                fits &= (ordered[:, 1:] != ordered[:, :-1]).all(axis=1)
                 good = np.flatnonzero(fits)
                 if len(good):
                     displacements[b], slots[own], found = base + good[0], at[good[0]], True
@@ -80,6 +84,8 @@ def build_index(keys: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
                 done = False
                 break
         if done:
+            alone, left = np.flatnonzero(counts == 1), np.flatnonzero(free)
+            displacements[alone], slots[order[starts[alone]]] = left + DIRECT, left
             return seed, displacements, slots
     raise ValueError("keys are not distinct")
 
@@ -107,14 +113,50 @@ def look_up(row: dict, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nda
 _known: dict = {}
 
 
-def _encoder(name: str):
-    """(tokenizer, ids of remembered words) of this Python worker."""
-    if name not in _known:
+def _printable_bytes() -> list[str]:
+    """The character that byte-level vocabularies write for each byte: itself if it is visible."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in visible]
+    return [chr(b) if b in visible else chr(256 + hidden.index(b)) for b in range(256)]
+
+
+class _Words(dict):
+    """Ids of words, as bytes, learnt when a word is first asked for."""
+
+    def __init__(self, name: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         import public_tokenizers
         from tokenizers import Tokenizer
 
-        _known[name] = (Tokenizer.from_file(public_tokenizers.path(name)), {})
+        self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+        self.model, self.letters, self.cores = self.tokenizer.model, _printable_bytes(), {}
+        self.marks = {mark: self._whole(mark) for mark in ".,"}
+
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def __missing__(self, word: str) -> bytes:
+        """Plain letters, perhaps with one mark behind, go to the model directly: the steps before it would
+        only lower-case them and cut off the mark. The library's whole chain does all other words."""
+        core, mark = (word[:-1], word[-1]) if word[-1:] in self.marks else (word, "")
+        low = core.lower()
+        if low.isalpha() and (core.isascii() or ("\u03a3" not in core and is_normalized("NFC", core))):
+            ids = self.cores.get(low)
+            if ids is None:
+                written = low if low.isascii() else "".join([self.letters[b] for b in low.encode()])
+                ids = self.cores[low] = array("I", [t.id for t in self.model.tokenize(written)]).tobytes()
+            ids = ids + self.marks[mark] if mark else ids
+        else:
+            ids = self._whole(word)
+        self[word] = ids
+        return ids
+
+
+def _words(name: str) -> _Words:
+    """The words that this Python worker has met."""
+    if name not in _known:
+        _known[name] = _Words(name)
     return _known[name]
 
 
@@ -124,14 +166,12 @@ def encode(texts: list[str], name: str = TOKENIZER) -> list[bytes]:
     This tokenizer drops white space and lets nothing reach across it, so a text's ids are those of
     its words in order; words that come again are not encoded again.
     """
-    tokenizer, ids = _encoder(name)
-    split = [text.replace("\n", " ").replace("\t", " ").split(" ") for text in texts]
-    if len(ids) > CACHE_WORDS:
-        ids.clear()
-    new = list(set().union(*split) - ids.keys())
-    for word, coded in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-        ids[word] = np.array(coded.ids, "<u4").tobytes()
-    return [b"".join([ids[w] for w in words]) for words in split]
+    words = _words(name)
+    if len(words) > CACHE_WORDS:
+        words.clear()
+        words.cores.clear()
+    ids = words.__getitem__
+    return [b"".join(map(ids, text.replace("\n", " ").replace("\t", " ").split(" "))) for text in texts]
 
 
 def _pack(part: int, shard: int, keys: list, payloads: list[np.ndarray], width: int) -> dict:
@@ -178,7 +218,7 @@ def write_shards(
         from pyspark import TaskContext
 
         part, shard, keys, payloads, count = TaskContext.get().partitionId(), 0, [], [], 0
-        width = 2 if max(_encoder(tokenizer)[0].get_vocab_size(), end_id + 1) <= 1 << 16 else 4
+        width = 2 if max(_words(tokenizer).tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
         end = np.array([end_id], np.uint32)
 
         def closed():
