@@ -112,7 +112,7 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataF
     empty benchmark hits nothing, empty documents give an empty result, other columns are ignored.
     """
     windows = written_table(benchmark_windows(benchmark, window).distinct())
-    found = hits(docs, windows, window)
+    found = written_table(hits(docs, windows, window))  # read twice below
     items = found.select("doc_id", "h", F.explode("found").alias("words")).join(
         windows.filter("item_id is not null").select("words", F.col("item_id").cast("string").alias("item")), "words")
     listed = items.groupBy(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).agg(
