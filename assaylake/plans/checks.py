@@ -90,7 +90,7 @@ def _record(lake: Lake, rows, checks, batch_id, as_of, tables, unique_key) -> tu
 
     def attempt(chosen: list[Check]) -> tuple[Evaluation, DataFrame]:
         outcome = evaluate(rows, chosen, batch_id=batch_id, as_of=as_of, tables=tables, unique_key=unique_key)
-        return outcome, lake.append("audit", "dq_result", outcome.results)
+        return outcome, lake.append("audit", "dq_result", outcome.results, ("dq_batch_id",))
 
     try:
         return attempt(checks)

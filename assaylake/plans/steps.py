@@ -104,7 +104,7 @@ def fact_step(lake: Lake, table: str, rows: DataFrame) -> dict:
 
 
 def reject_step(lake: Lake, run_id: str) -> dict:
-    """Critical violations of this run per table, rule and feed."""
+    """Critical violations of this run per table, rule and feed; results of other batches are not read."""
     results = lake.read("audit", "dq_result", RESULT_SCHEMA)
     own = results.filter(F.col("dq_batch_id").startswith(f"{run_id}:"))
     lake.append("reject", "reject_summary", reject_summary(own).withColumn("run_id", F.lit(run_id)))

@@ -50,14 +50,14 @@ class Lake:
 
     # --- writing -----------------------------------------------------------------------
 
-    def append(self, layer: str, table: str, df: DataFrame) -> DataFrame:
-        """Add a part and return its rows as written."""
+    def append(self, layer: str, table: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
+        """Add a part and return its rows as written. Readers skip partitions that their filters exclude."""
         path = self._table(layer, table)
         generation = max(self._generations(path), default=1)
         base = f"{path}/g={generation:06d}"
         part = f"{base}/p={self._next(base, 'p'):06d}"
-        df.write.parquet(part)
-        return self._load([part], df.schema)
+        df.write.partitionBy(*partition_by).parquet(part)
+        return self._load([part], df.schema, base if partition_by else None)
 
     def replace(self, layer: str, table: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
         path = self._table(layer, table)
@@ -67,6 +67,34 @@ class Lake:
         """Write the checked form of the pending parts; earlier checked parts stay as they are."""
         df.write.mode("overwrite").parquet(f"{self._newest(layer, table)}/s={up_to:06d}")
 
+    # --- upkeep ------------------------------------------------------------------------
+
+    def compact(self, layer: str, table: str, schema, partition_by: tuple[str, ...] = ()) -> None:
+        """Rewrite the parts of a table that only grows (logs, events, results) as one part.
+
+        Checked tables keep their parts apart, as these say what is pending; so do histories.
+        """
+        scored, parts = self._parts(layer, table)
+        if scored:
+            raise ValueError(f"{layer}.{table} has checked parts")
+        if len(parts) > 1:
+            self.replace(layer, table, self.read(layer, table, schema), partition_by)
+
+    def remove_old(self, layer: str, table: str, keep: int = 2) -> int:
+        """Delete all but the newest generations, of which running readers may still use some.
+
+        Not for histories, whose closed versions stay in the generations that closed them.
+        """
+        path = self._table(layer, table)
+        old = self._generations(path)[: -max(keep, 1)]
+        if self._glob(f"{path}/g=*/p=*/_is_current=*"):
+            raise ValueError(f"{layer}.{table} is a history")
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        for generation in old:
+            target = jvm.org.apache.hadoop.fs.Path(f"{path}/g={generation:06d}")
+            target.getFileSystem(conf).delete(target, True)
+        return len(old)
+
     # --- reading -----------------------------------------------------------------------
 
     def _newest(self, layer: str, table: str) -> str | None:
@@ -84,18 +112,28 @@ class Lake:
         pending = [p for p in self._committed(base, "p") if p > done]
         return [f"{base}/s={n:06d}" for n in scored], [f"{base}/p={n:06d}" for n in pending]
 
-    def _load(self, paths: list[str], schema) -> DataFrame:
+    def _load(self, paths: list[str], schema, base: str | None = None) -> DataFrame:
+        """`base` is the generation whose parts are partitioned."""
         schema = as_schema(schema)
         if not paths:
             return frame(self.spark, [], schema)
-        return self.spark.read.schema(schema).parquet(*paths)
+        reader = self.spark.read.schema(schema)
+        if base:
+            reader = reader.option("basePath", base)
+        # Partition columns come last in what Spark reads.
+        return reader.parquet(*paths).select(*schema.names)
 
     def exists(self, layer: str, table: str) -> bool:
         return self._newest(layer, table) is not None
 
     def read(self, layer: str, table: str, schema) -> DataFrame:
         scored, pending = self._parts(layer, table)
-        return self._load(scored + pending, schema)
+        return self._load(scored + pending, schema, None if scored else self._partitioned(layer, table))
+
+    def _partitioned(self, layer: str, table: str) -> str | None:
+        """The newest generation, if its parts are partitioned."""
+        base = self._newest(layer, table)
+        return base if base and self._glob(f"{base}/p=*/*=*") else None
 
     def read_pending(self, layer: str, table: str, schema) -> tuple[DataFrame, int]:
         """Rows of the parts not checked yet, and the number of the last such part (0 for none)."""
