@@ -16,7 +16,7 @@ SPACE_BYTES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 # Bytes of text that one vectorised step handles; a longer text is a step of its own.
-STEP_BYTES = 2_000_000
+STEP_BYTES = 500_000
 
 
 def text_of(column: Column) -> Column:
