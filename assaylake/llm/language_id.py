@@ -55,8 +55,14 @@ def fit(labelled: DataFrame, languages=LANGUAGES, sample: int = SAMPLE) -> np.nd
     even distribution.
     """
     marked = labelled.filter(F.col("lang").isin(*languages))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = marked.select("doc_id", "lang").withColumn("rank", rank).filter(F.col("rank") <= sample)
+    # Three times the sample by hash, of which the smallest are taken: few rows are ranked in one place.
+    limit = F.lit(0).cast("long")
+    for r in marked.groupBy("lang").count().collect():  # one row per language
+        share = min(1.0, 3 * sample / r["count"])
+        limit = F.when(F.col("lang") == r["lang"], F.lit(int(share * (2**63 - 1024)))).otherwise(limit)
+    placed = marked.select("doc_id", "lang", F.shiftrightunsigned(F.xxhash64("doc_id"), 1).alias("place"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("place", "doc_id"))
+    chosen = placed.filter(F.col("place") <= limit).withColumn("rank", rank).filter(F.col("rank") <= sample)
     # A fixed number of ids; each is used with all its text.
     rows = marked.join(F.broadcast(chosen.select("doc_id", "lang").distinct()), ["doc_id", "lang"]).select("lang", "text")
 
