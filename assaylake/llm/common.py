@@ -6,7 +6,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # The white space that separates words, and a class of everything else. Single
@@ -19,6 +19,17 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 STEP_BYTES = 500_000
 
 
+# Rows per Arrow batch: with whole texts or sets in them, Spark's 10,000 rows take a worker too much memory.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the session's Arrow batches to BATCH_ROWS; results do not depend on them."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "10000")) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def text_of(column: Column) -> Column:
     return F.coalesce(column, F.lit(""))
 

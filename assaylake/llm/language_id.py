@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from assaylake.llm.common import buffers, steps, text_of
+from assaylake.llm.common import buffers, small_batches, steps, text_of
 from assaylake.llm.url_filters import url_parts
 from assaylake.sources.scratch import written_table
 from assaylake.sources.tables import table
@@ -64,6 +64,7 @@ def fit(labelled: DataFrame, languages=LANGUAGES, sample: int = SAMPLE) -> np.nd
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("place", "doc_id"))
     chosen = placed.filter(F.col("place") <= limit).withColumn("rank", rank).filter(F.col("rank") <= sample)
     # A fixed number of ids; each is used with all its text.
+    small_batches(labelled.sparkSession)
     rows = marked.join(F.broadcast(chosen.select("doc_id", "lang").distinct()), ["doc_id", "lang"]).select("lang", "text")
 
     def count(batches):

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assaylake.llm.common import buffers, gram_names, mix, odd_multipliers, steps, word_names, word_spans
+from assaylake.llm.common import buffers, gram_names, mix, odd_multipliers, small_batches, steps, word_names, word_spans
 from assaylake.sources.scratch import written_table
 from assaylake.sources.tables import table
 
@@ -30,6 +30,7 @@ MINIMA = RUNS * DEPTH
 BLOCK = 256  # rows that are compared by brute force
 LEAST_EQUAL = 24  # of the 48 sketch bytes; a pair at the threshold has fewer with a chance below 1e-6
 BROADCAST_ROWS = 500_000
+RANGE_NAMES = 200_000  # shingles that are put into columns at a time
 NO_KEY = 0
 
 _GRAM = odd_multipliers(SHINGLE, 11)
@@ -229,20 +230,25 @@ def _common(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Sizes of the intersections of the given pairs of sorted sets."""
     if len(i) <= 4 * len(sets):
         return np.array([len(np.intersect1d(sets[x], sets[y], assume_unique=True)) for x, y in zip(i, j)], np.int64)
-    # Many pairs: a product of 0/1 matrices over the shingles that come more than once, a slice at a time.
-    lengths = [len(s) for s in sets]
-    every, rows = np.concatenate(sets), np.repeat(np.arange(len(sets)), lengths)
-    _, column, times = np.unique(every, return_inverse=True, return_counts=True)
-    shared = times[column] > 1
-    names, column = np.unique(column[shared], return_inverse=True)
-    rows, total = rows[shared], np.zeros((len(sets), len(sets)), np.float32)
-    order = np.argsort(column, kind="stable")
-    rows, column = rows[order], column[order]
-    for low in range(0, len(names), 4096):
-        a, b = np.searchsorted(column, (low, low + 4096))
-        part = np.zeros((len(sets), min(4096, len(names) - low)), np.float32)
-        part[rows[a:b], column[a:b] - low] = 1
-        total += part @ part.T
+    # Many pairs: a product of 0/1 matrices over the shingles that come more than once, for one range of
+    # names after the other, so that long texts take no more memory.
+    total = np.zeros((len(sets), len(sets)), np.float32)
+    ranges = 1 + sum(map(len, sets)) // RANGE_NAMES
+    borders = [np.uint64(min(k * (2**64 // ranges), 2**64 - 1)) for k in range(1, ranges)]
+    cuts = [np.concatenate(([0], np.searchsorted(s, np.array(borders, np.uint64)), [len(s)])) for s in sets]
+    for k in range(ranges):
+        parts = [s[c[k] : c[k + 1]] for s, c in zip(sets, cuts)]
+        rows = np.repeat(np.arange(len(sets)), [len(p) for p in parts])
+        _, column, times = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+        shared = times[column] > 1
+        names, column = np.unique(column[shared], return_inverse=True)
+        rows, order = rows[shared], np.argsort(column, kind="stable")
+        rows, column = rows[order], column[order]
+        for low in range(0, len(names), 1024):
+            a, b = np.searchsorted(column, (low, low + 1024))
+            part = np.zeros((len(sets), min(1024, len(names) - low)), np.float32)
+            part[rows[a:b], column[a:b] - low] = 1
+            total += part @ part.T
     return total[i, j].astype(np.int64)
 
 
@@ -256,7 +262,7 @@ def _verified(rows: DataFrame) -> DataFrame:
             if not len(i):
                 continue
             rid, m = _column(group, "rid"), _column(group, "m").astype(np.int64)
-            sets = [np.frombuffer(s, np.uint64) for s in group.column("set").to_pylist()]
+            sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in group.column("set")]
             n = np.array([len(s) for s in sets], np.int64)
             common = _common(sets, i, j)
             linked = common * THRESHOLD[1] >= (n[i] + n[j] - common) * THRESHOLD[0]
@@ -314,6 +320,7 @@ def classes(docs: DataFrame) -> DataFrame:
     its own without links, repeated rows link to each other, other columns are ignored; an empty table
     gives an empty result. `h` is the text's hash.
     """
+    small_batches(docs.sparkSession)
     found = docs.select("doc_id", F.xxhash64("text").alias("h"), features(F.col("text")).alias("f"))
     found = written_table(found.select("doc_id", "h", "f.*"))
     full = found.filter("n > 0")
