@@ -4,6 +4,9 @@ Each step sorts the suffixes of a batch of documents by rounds of prefix doublin
 give longest common prefixes of neighbours. Places whose prefix with a neighbour is long enough start
 repeated substrings; their spans are united, and a document fails if they cover too much of it or if
 the longest one is too long. A suffix never compares beyond its own document.
+
+The limits lie below what the base rule implies: it lets repeats cover a fifth of a document, whatever
+their length. Documents it passes in the given tables repeat up to 13 words at a time.
 """
 
 from __future__ import annotations
@@ -17,9 +20,10 @@ from assaylake.llm.common import buffers, steps, word_names, word_spans
 from assaylake.sources.tables import table
 
 REPEAT_WORDS = 5  # window of the base count
-LONG_REPEAT = 10  # words from which a repeat counts for the limits below
-MOST_COVERED = 0.2  # part of the words that long repeats may cover
-LONGEST_PART = 0.4  # part of the words that one repeat may have
+LONG_REPEAT = 20  # words from which a repeat counts as long
+MOST_COVERED = 0.05  # part of the words that long repeats may cover
+LONGEST_WORDS = 100  # words that one repeat may have in a document of any length
+LONGEST_PART = 0.4  # part of the words that one repeat may have; the base rule implies it
 MIN_WORDS = 10
 MOST_REPEATED_PERCENT = 20
 
@@ -144,7 +148,9 @@ def measured(column: Column) -> Column:
     return apply(column)
 
 
-def judge(docs: DataFrame, most_covered: float = MOST_COVERED, longest_part: float = LONGEST_PART) -> DataFrame:
+def judge(
+    docs: DataFrame, most_covered: float = MOST_COVERED, longest_part: float = LONGEST_PART, longest_words: int = LONGEST_WORDS,
+) -> DataFrame:
     """One row per document with its counts and verdict.
 
     Words are separated by white space and compared as they are; a NULL or empty text has none and
@@ -154,7 +160,7 @@ def judge(docs: DataFrame, most_covered: float = MOST_COVERED, longest_part: flo
     rows = docs.select("doc_id", measured(F.col("text")).alias("m")).select("doc_id", "m.*")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
     passed = (F.col("n_long_repeat_words") <= most_covered * F.col("n_words")) & (
-        F.col("longest_repeat") <= longest_part * F.col("n_words"))
+        F.col("longest_repeat") <= longest_part * F.col("n_words")) & (F.col("longest_repeat") <= longest_words)
     return rows.withColumn("base_failed", failed).withColumn("kept", ~failed & passed)
 
 

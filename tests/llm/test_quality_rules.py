@@ -41,3 +41,19 @@ def test_against_brute_force(spark):
         kept = df.filter(f"text is null or not startswith(text, '{LONG[:200]}')")
         got = Counter((r.doc_id, tuple(r[f] for f in FIELDS), r.base_failed, r.kept) for r in judge(kept).collect())
         assert got == Counter((i, *plain(t)) for i, t in rows), name
+
+
+def test_long_repeats_fail_where_the_base_rule_passes(spark):
+    def text(n, *passages):
+        own, at = [f"w{i}" for i in range(n - sum(map(len, passages)))], 0
+        for k, p in enumerate(passages):
+            at = (k + 1) * len(own) // (len(passages) + 1)
+            own[at:at] = p
+        return " ".join(own)
+
+    part = lambda n: [f"p{i}" for i in range(n)]
+    rows = [(1, text(300, part(25), part(25))), (2, text(3500, part(300), part(300))), (3, text(20_000, part(300), part(300))),
+            (4, text(300, ["x", "y"] * 22)), (5, text(300, part(13), part(13))), (6, text(2000, part(40), part(40))), (7, text(300)),
+            (8, text(15, part(4), part(4)))]
+    got = {r.doc_id: (r.base_failed, r.kept) for r in judge(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: (False, i >= 5) for i, _ in rows}
