@@ -6,7 +6,7 @@ host priors that are smoothed towards the domain's, and those towards the whole
 is their product; rows without letters or without a clear winner are rejected.
 
 Only the model is fitted on a sample: at most `sample` labelled documents per language, those with the
-smallest hashes of their ids. Counts and decisions cover every row.
+smallest hashes of their ids and texts. Counts and decisions cover every row.
 """
 
 from __future__ import annotations
@@ -51,21 +51,24 @@ def _cells(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def fit(labelled: DataFrame, languages=LANGUAGES, sample: int = SAMPLE) -> np.ndarray:
     """log p(trigram | language), one column per language, from (doc_id, text, lang).
 
-    Rows with another or no label are not used. A language without rows, like an empty table, gets an
-    even distribution.
+    Rows with another or no label are not used; of rows that repeat an id and text one is, and rows
+    without an id are like others. A language without rows, like an empty table, gets an even distribution.
     """
-    marked = labelled.filter(F.col("lang").isin(*languages))
+    place = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 1).alias("place")
+    marked = labelled.filter(F.col("lang").isin(*languages)).select("doc_id", "lang", "text", place)
+    placed = written_table(marked.drop("text"))
     # Three times the sample by hash, of which the smallest are taken: few rows are ranked in one place.
     limit = F.lit(0).cast("long")
-    for r in marked.groupBy("lang").count().collect():  # one row per language
-        share = min(1.0, 3 * sample / r["count"])
+    for r in placed.groupBy("lang").agg(F.approx_count_distinct("place").alias("n")).collect():  # one row per language
+        share = min(1.0, 3 * sample / r["n"])
         limit = F.when(F.col("lang") == r["lang"], F.lit(int(share * (2**63 - 1024)))).otherwise(limit)
-    placed = marked.select("doc_id", "lang", F.shiftrightunsigned(F.xxhash64("doc_id"), 1).alias("place"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("place", "doc_id"))
-    chosen = placed.filter(F.col("place") <= limit).withColumn("rank", rank).filter(F.col("rank") <= sample)
-    # A fixed number of ids; each is used with all its text.
+    chosen = placed.filter(F.col("place") <= limit).distinct().withColumn("rank", rank).filter(F.col("rank") <= sample)
+    # A fixed number of documents; each is used with all its text.
     small_batches(labelled.sparkSession)
-    rows = marked.join(F.broadcast(chosen.select("doc_id", "lang").distinct()), ["doc_id", "lang"]).select("lang", "text")
+    chosen = chosen.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"), F.col("place").alias("_place"))
+    same = (F.col("place") == F.col("_place")) & (F.col("lang") == F.col("_lang")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    rows = marked.join(F.broadcast(chosen), same).dropDuplicates(["doc_id", "lang", "place"]).select("lang", "text")
 
     def count(batches):
         total = np.zeros((len(languages), CELLS), np.int64)

@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from assaylake.llm.language_id import LANGUAGES, accepted, fit, identify_documents, identify_pages
 from tests.llm.cases import FOLDER, frame, given, tables
@@ -46,3 +47,22 @@ def test_evidence_is_fused(spark):
 
 def test_model_shape(spark):
     assert fit(frame(spark, [])).shape == (1 << 14, len(LANGUAGES))
+
+
+def test_sample_of_rows_without_or_with_repeated_ids(spark):
+    """500 rows without an id in each language must not crowd the others out, nor fall out themselves."""
+    docs = spark.read.parquet(f"{FOLDER.rsplit('/', 1)[0]}/sf0.01/documents.parquet").filter("lang is not null")
+    own = {r.lang: r.text for r in docs.groupBy("lang").agg(F.min("text").alias("text")).collect() if r.lang in LANGUAGES}
+    rows = [(None, f"{text} {i}", lang) for lang, text in own.items() for i in range(500)]
+    unnamed = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = fit(unnamed)
+    assert len(own) == len(LANGUAGES) and all(np.ptp(model[:, i]) > 1 for i in range(len(LANGUAGES)))
+    repeated = spark.createDataFrame([(0, f"zq {i}", "en") for i in range(300)] + [(1, "xj", "de")] * 700, "doc_id long, text string, lang string")
+    few = fit(repeated, sample=5)
+    # Five documents of "zq N", one of "xj": at most this many trigrams, so at most this ratio to an unseen one.
+    assert few[:, LANGUAGES.index("en")].max() - few[:, LANGUAGES.index("en")].min() <= np.log(5.5 / 0.5) + 1e-4
+    assert np.ptp(fit(repeated)[:, LANGUAGES.index("de")]) <= np.log(1.5 / 0.5) + 1e-4
+    mixed = docs.select("doc_id", "text", "lang").unionByName(unnamed)
+    got = identify_documents(docs.selectExpr("doc_id", "text", "cast(null as string) AS lang", "source"), fit(mixed)).collect()
+    truth = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
+    assert sum(r.language == truth[r.doc_id] for r in got) >= 0.97 * len(truth)
