@@ -311,11 +311,12 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """(doc_id, h, class_id, n_links, n_texts): one row per document.
+    """(doc_id, h, class_id, n_links, n_texts, label): one row per document.
 
     Words are separated by white space and compared as they are; a shingle is five of them. Documents
     whose sets have a similarity of at least 4/5 are linked, and a class is a connected component, named
-    by its smallest id (NULL if none of its documents has one). `n_links` counts linked documents,
+    by its smallest id (NULL if none of its documents has one). An id that repeats may name several classes;
+    `label` is theirs alone. `n_links` counts linked documents,
     copies included, `n_texts` linked different sets. A text without words (NULL, empty) is a class of
     its own without links, repeated rows link to each other, other columns are ignored; an empty table
     gives an empty result. `h` is the text's hash.
@@ -354,25 +355,27 @@ def classes(docs: DataFrame) -> DataFrame:
     placed = placed.withColumn("label", F.coalesce("label", "rid"))
     names = placed.groupBy("label").agg(F.min("least").alias("class_id"))
     by_set = written_table(placed.join(names, "label").select(
-        F.col("rid").alias("_rid"), "class_id", (F.coalesce("docs", F.lit(0)) + F.col("m") - 1).alias("n_links"),
+        F.col("rid").alias("_rid"), "class_id", "label", (F.coalesce("docs", F.lit(0)) + F.col("m") - 1).alias("n_links"),
         F.coalesce("texts", F.lit(0)).alias("n_texts")))
     own_rid = F.when(F.col("n") > 0, F.col("rid"))
     result = found.select("doc_id", "h", own_rid.alias("rid")).join(by_set, F.col("rid") == F.col("_rid"), "left")
     return result.select(
         "doc_id", "h", F.when(F.col("_rid").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), F.coalesce("n_texts", F.lit(0).cast("long")).alias("n_texts"))
+        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), F.coalesce("n_texts", F.lit(0).cast("long")).alias("n_texts"),
+        F.coalesce("label", F.xxhash64("doc_id", "h")).alias("label"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """`docs` with one document of each class: the one whose id names it.
+    """`docs` with one document of each class: the one whose id names it, of its texts that with the smallest hash.
 
     Of rows that repeat an id and text one stays. Rows without an id stay, once for each text, if their
     class has no id at all.
     """
     found = classes(docs)
-    ranked = found.select("doc_id", "h", "class_id")
-    # Where different texts share the id that names a class, the smallest hash decides.
-    keepers = ranked.filter("doc_id is not null and doc_id = class_id").groupBy("class_id").agg(F.min("h").alias("h"))
+    ranked = found.select("doc_id", "h", "class_id", "label")
+    # Different texts may share the id that names their class, or be classes that one id names.
+    keepers = ranked.filter("doc_id is not null and doc_id = class_id").groupBy("label").agg(
+        F.min(F.struct("class_id", "h")).alias("one")).select("one.class_id", "one.h")
     nameless = ranked.filter("doc_id is null and class_id is null").select("class_id", "h").distinct()
     keep = keepers.unionByName(nameless).select(F.col("class_id").alias("_id"), F.col("h").alias("_h"))
     times = docs.groupBy("doc_id", F.xxhash64("text").alias("h")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")

@@ -64,6 +64,17 @@ def test_large_groups_are_compared_whole(spark, monkeypatch, block):
     assert {r.doc_id for r in stay} == {c for _, c, _ in plain(rows)} and len(stay) == len({r.doc_id for r in stay})
 
 
+def test_unlinked_texts_that_share_an_id_all_stay(spark):
+    base = " ".join(f"word{i}" for i in range(60))
+    texts = [" ".join(f"own{k}x{i}" for i in range(30)) for k in range(5)]
+    rows = [(7, t, None, "s", 0, "h", "b", 1, 2, "c") for t in (*texts, base, "", " ")]
+    rows += [(8, base + " more", None, "s", 0, "h", "b", 1, 2, "c"), (8, texts[0], None, "s", 0, "h", "b", 1, 2, "c")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    found = classes(df).collect()
+    assert {r.class_id for r in found} == {7} and len({r.label for r in found}) == len(texts) + 3
+    assert Counter((r.doc_id, r.text) for r in one_of_each(df).collect()) == Counter((7, t) for t in (*texts, base, "", " "))
+
+
 def test_components(spark):
     chain = [(i + 1, i) for i in range(40)] + [(100, 101), (7, 7), (200, 203), (203, 201), (202, 201)]
     got = {r.node: r.label for r in components(spark.createDataFrame(chain, "rid long, to long")).collect()}
