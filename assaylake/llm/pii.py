@@ -3,8 +3,10 @@
 Base spans are e-mail addresses, IP addresses, card and phone numbers. Each valid one is a protected
 entity. The corpus then says which terms give an entity away: for a term t near an entity e, the
 pointwise mutual information log p(e,t) / (p(e) p(t)) is compared with the entity's own information
--log p(e). A term that carries nearly all of it, in several different texts, is a span as well wherever
-it occurs. No Python runs here.
+-log p(e). A term that carries nearly all of it is a span as well wherever it occurs. Most values come
+once, so their evidence is pooled: by address domain, network, number prefix and issuer. How surely a term
+names an entity is a smoothed estimate: it starts from the entity's own rate, or from PART_CHANCE for a
+term that is a word of the mailbox, and different texts move it. No Python runs here.
 
 Offsets come from the pieces between matches, summed per document; so a text may be of any length.
 """
@@ -32,7 +34,8 @@ TERM = "term"
 
 CONTEXT = 80  # characters on each side of an entity whose terms count as near it
 TERM_LETTERS = 4  # shortest term
-LEAST_TEXTS = 3  # different texts in which a term must be near an entity
+PRIOR_TEXTS = 2.0  # texts' worth of the estimate to start from
+PART_CHANCE = 0.5  # p(entity | term) to start from for a term that is part of the entity
 LEAST_CHANCE = 0.5  # p(entity | term)
 LEAST_SHARE = 0.9  # mutual information over the entity's own information
 BROADCAST_TERMS = 100_000
@@ -65,6 +68,18 @@ def _valid(kind: Column, hit: Column) -> Column:
             .when(kind == 3, F.length(digits).between(9, 15)).otherwise(True))
 
 
+def _around(window: Window) -> tuple[Column, Column]:
+    """The characters before and after a match, CONTEXT and one more, over neighbouring matches of its kind.
+
+    Those are blanks here: they are spans of their own. A match and the gap after it have two characters at least."""
+    most = CONTEXT // 2 + 1
+    blank = F.repeat(F.lit(" "), F.least(F.length("hit"), F.lit(CONTEXT + 1)))
+    earlier = F.array_join(F.collect_list(F.concat("before", blank)).over(window.rowsBetween(-most, -1)), "")
+    later = F.array_join(F.collect_list(F.concat(blank, "after")).over(window.rowsBetween(1, most)), "")
+    return (F.right(F.concat(earlier, "before"), F.lit(CONTEXT + 1)).alias("before"),
+            F.left(F.concat("after", later), F.lit(CONTEXT + 1)).alias("after"))
+
+
 def _located(docs: DataFrame, pattern: str | None = None) -> DataFrame:
     """(doc_id, h, kind, start, end, hit, before, after): valid spans of each different (doc_id, text).
 
@@ -79,10 +94,11 @@ def _located(docs: DataFrame, pattern: str | None = None) -> DataFrame:
     arrays = F.flatten(F.filter(F.array(*parts), lambda x: x.isNotNull()))
     rows = docs.select("doc_id", "h", F.inline(arrays)).repartition("doc_id", "h")
     rows = rows.dropDuplicates(["doc_id", "h", "kind", "i"])
-    before = Window.partitionBy("doc_id", "h", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+    ordered = Window.partitionBy("doc_id", "h", "kind").orderBy("i")
+    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
     length = F.length("hit")
     start = F.coalesce(F.sum(F.col("gap") + length).over(before), F.lit(0)) + F.col("gap")
-    placed = rows.select("*", start.cast("long").alias("start"))
+    placed = rows.select("doc_id", "h", "kind", "hit", start.cast("long").alias("start"), *_around(ordered))
     return placed.select("doc_id", "h", "kind", "start", (F.col("start") + length).alias("end"), "hit", "before",
                          "after").filter(_valid(F.col("kind"), F.col("hit")))
 
@@ -93,33 +109,50 @@ def _near(before: Column, after: Column) -> Column:
     return F.array_distinct(F.concat(terms_of(cut(before, f"^{_LETTER}+")), terms_of(cut(after, f"{_LETTER}+$"))))
 
 
+def _entities(kind: Column, hit: Column) -> Column:
+    """Names of the entity and of the wider one that pools it with others."""
+    value, digits = F.lower(hit), F.regexp_replace(hit, "[^0-9]+", "")
+    wider = (F.when(kind == 0, F.substring_index(value, "@", -1)).when(kind == 1, F.substring_index(value, ".", 3))
+             .otherwise(F.left(digits, F.lit(6))))
+    named = lambda mark, name: F.concat(kind.cast("string"), F.lit(mark), name)
+    return F.array(named(":", value), named("/", wider))
+
+
 def disclosing_terms(
-    docs: DataFrame, least_texts: int = LEAST_TEXTS, least_chance: float = LEAST_CHANCE, least_share: float = LEAST_SHARE,
+    docs: DataFrame, prior_texts: float = PRIOR_TEXTS, least_chance: float = LEAST_CHANCE, least_share: float = LEAST_SHARE,
 ) -> DataFrame:
     """(term, entities, share) of the terms that give an entity away; counts are over all documents."""
     keyed = docs.select("doc_id", F.xxhash64("text").alias("h"), text_of(F.col("text")).alias("text"))
-    entity = F.concat(F.col("kind").cast("string"), F.lit(":"), F.lower("hit"))
-    mentions = _located(keyed).select("doc_id", "h", entity.alias("entity"), _near(F.col("before"), F.col("after")).alias("terms"))
+    mailbox = F.when(F.col("kind") == 0, terms_of(F.substring_index("hit", "@", 1)))
+    mentions = _located(keyed).select("doc_id", "h", F.explode(_entities(F.col("kind"), F.col("hit"))).alias("entity"),
+                                      mailbox.alias("parts"), _near(F.col("before"), F.col("after")).alias("terms"))
     mentions = written_table(mentions)
     copies = docs.groupBy("doc_id", F.xxhash64("text").alias("h")).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
     counted = mentions.join(copies.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), "copies"),
                             F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h")), "left")
-    counted = counted.select("doc_id", "h", "entity", "terms", F.coalesce("copies", F.lit(1)).alias("copies"))
+    counted = counted.select("doc_id", "h", "entity", "parts", "terms", F.coalesce("copies", F.lit(1)).alias("copies"))
     entities = counted.dropDuplicates(["doc_id", "h", "entity"]).groupBy("entity").agg(F.sum("copies").alias("n_e"))
-    pairs = counted.select("doc_id", "h", "entity", "copies", F.explode("terms").alias("term"))
-    pairs = pairs.groupBy("term", "entity", "doc_id", "h").agg(F.max("copies").alias("copies"))
-    pairs = pairs.groupBy("term", "entity", "h").agg(F.sum("copies").alias("copies"))
-    pairs = pairs.groupBy("term", "entity").agg(F.count(F.lit(1)).alias("texts"), F.sum("copies").alias("n_te"))
-    pairs = written_table(pairs.filter(F.col("texts") >= least_texts).join(entities, "entity"))
+    pairs = counted.select("doc_id", "h", "entity", "parts", "copies", F.explode("terms").alias("term"))
+    part = F.coalesce(F.array_contains("parts", F.col("term")), F.lit(False))
+    pairs = pairs.groupBy("term", "entity", "doc_id", "h").agg(F.max("copies").alias("copies"), F.max(part).alias("part"))
+    pairs = pairs.groupBy("term", "entity", "h").agg(F.sum("copies").alias("copies"), F.max("part").alias("part"))
+    pairs = pairs.groupBy("term", "entity").agg(
+        F.count(F.lit(1)).alias("texts"), F.sum("copies").alias("n_te"), F.max("part").alias("part"))
+    n = docs.count()
+    start = F.when(F.col("part"), F.lit(PART_CHANCE)).otherwise(F.col("n_e") / F.lit(float(max(n, 1))))
+    chance = lambda texts: (F.col("texts") + prior_texts * start) / (texts + prior_texts)
+    # The term is in these texts at least: a pair whose chance is too small even so is not looked at further.
+    pairs = written_table(pairs.join(entities, "entity").filter(chance(F.col("texts")) >= least_chance))
     # Counted before the join: near an entity there are also terms that most documents have.
     words = keyed.select(F.explode(F.array_distinct(terms_of(F.col("text")))).alias("term"))
     totals = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    n = docs.count()
     information = F.log(F.lit(float(max(n, 1))) / F.col("n_e"))
     mutual = F.log(F.col("n_te") * F.lit(float(max(n, 1))) / (F.col("n_t") * F.col("n_e")))
     share = F.when(information > 0, mutual / information)
     judged = pairs.join(totals, "term").withColumn("share", share)
-    revealing = judged.filter((F.col("n_te") >= least_chance * F.col("n_t")) & (F.col("share") >= least_share))
+    # Copies of a text are no further evidence: of the term's documents only their rate counts.
+    sure = chance(F.col("texts") * F.col("n_t") / F.col("n_te")) >= least_chance
+    revealing = judged.filter(sure & (F.col("share") >= least_share))
     return revealing.groupBy("term").agg(F.count(F.lit(1)).alias("entities"), F.max("share").alias("share"))
 
 

@@ -67,3 +67,19 @@ def test_terms_that_give_an_entity_away(spark):
     assert got[10] == "term:0:9" and got[11] == "" and got[14] == "" and got[0].startswith("term:8:17,email:")
     clean = {r.doc_id: r.text for r in sanitised(df).collect()}
     assert clean[0] == "uno met  yesterday, ask <EMAIL> today uno" and clean[11] == rows[5][1] and clean[13] is None
+
+
+def test_terms_of_entities_that_come_once(spark):
+    texts = ["write to Marlene Quist, marlene.quist@one.org today", "the Zorvex desk answers ann@zorvex.example", "ask Zorvex, bob@zorvex.example",
+             "first a@b.co x@y.zz Feldspar second", "info line, info@two.org", "nothing here"] + [f"info desk write today {i}" for i in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.term for r in disclosing_terms(df).collect()} == {"marlene", "quist", "zorvex"}
+    got = {r.doc_id: r.spans for r in report(df).collect()}
+    assert got[0] == "term:9:16,term:17:22,email:24:45,term:24:31,term:32:37" and got[4] == "email:11:23"
+
+
+def test_context_goes_over_matches_of_the_same_kind(spark):
+    rows = [(i, f"Klarafied: {w}@a.io, kim@corp.io") for i, w in enumerate(("uno", "due", "tre"))] + [(i, "filler") for i in range(9, 60)]
+    found = disclosing_terms(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    # The exact address, its domain, and the domain of the one between; without crossing it only the last.
+    assert {r.term: r.entities for r in found} == {"klarafied": 3}
