@@ -60,6 +60,7 @@ def source_row_counts(source: DataFrame, name: str, loaded_at: str, mark: str) -
 # --- events ----------------------------------------------------------------------------
 
 # Runs, steps and errors are appended as events; the state of a step is derived from them.
+# Fixed value: the columns of a log entry.
 EVENT_SCHEMA = (
     "run_id string, step_id bigint, step_name string, event string, event_ts timestamp_ntz, status string, "
     "rows_read bigint, rows_written bigint, rows_rejected bigint, rows_updated bigint, error_message string"

@@ -69,10 +69,23 @@ SCD2_PROVIDER = (
     "_is_current boolean, _hash_diff string, _run_id string"
 )
 # Columns an update of the dimension takes from its source, and tracked attributes.
-UPDATED = (
-    "provider_name provider_first_name provider_last_name credential gender primary_specialty specialty_category "
-    "state zip_code phone address_line_1 city provider_tin deletion_flag _run_id"
-).split()
+UPDATED = [
+    "provider_name",
+    "provider_first_name",
+    "provider_last_name",
+    "credential",
+    "gender",
+    "primary_specialty",
+    "specialty_category",
+    "state",
+    "zip_code",
+    "phone",
+    "address_line_1",
+    "city",
+    "provider_tin",
+    "deletion_flag",
+    "_run_id",
+]
 TRACKED = {
     "provider_name": "provider_name",
     "credential": "credential",
