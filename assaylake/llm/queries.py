@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from assaylake.llm.decontamination import OP1_SQL, op1_decontamination
+from assaylake.llm.hard_negatives import OP11_SQL, op11_hard_negatives
 from assaylake.llm.language_id import op4_language_id, pages_language
 from assaylake.llm.merkle_manifest import OP13_SQL, op13_merkle_manifest
 from assaylake.llm.mixing import op5_mixing
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_pii": (op8_pii, None),
     "op9_quality_rules": (op9_quality_rules, None),
     "op10_near_duplicates": (op10_near_duplicates, None),
+    "op11_hard_negatives": (op11_hard_negatives, OP11_SQL),
     "op13_merkle_manifest": (op13_merkle_manifest, OP13_SQL),
     "pages_language": (pages_language, None),
 }
