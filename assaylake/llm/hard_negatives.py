@@ -27,6 +27,7 @@ ANCHORS_EVERY, MOVED_EVERY, LABELS = 100, 7, 10
 WAVE = 8_192  # anchors that are held by a task at a time, on average half of it
 BLOCK = 512  # anchors of one tree
 ROWS = 2_048  # rows scored at a time
+PAIR_COST = 8  # a product on its own, in products of a matrix
 LARGEST_NORM = 2.0**31  # products of two vectors below it fit into 64 bits
 LOWEST, HIGHEST = np.iinfo(np.int64).min, np.iinfo(np.int64).max
 
@@ -70,7 +71,7 @@ class Block:
 
 def scores_overlapping(x: np.ndarray, norms: np.ndarray, block: Block, low: np.ndarray, high: np.ndarray):
     """(scores, which of them were computed): at least all that lie within [low, high] of their anchor."""
-    rows, n = len(x), len(block.anchor)
+    rows, n, vectors = len(x), len(block.anchor), block.vectors.astype(x.dtype)
     scores, done = np.zeros((rows, n), x.dtype), np.zeros((rows, n), bool)
     under, over = np.empty((rows, n)), np.empty((rows, n))
     for depth, (nodes, parents, lengths) in enumerate(block.tree):
@@ -79,13 +80,17 @@ def scores_overlapping(x: np.ndarray, norms: np.ndarray, block: Block, low: np.n
             reach = norms[:, None] * (lengths * (1 + 1e-9))[None, :] + 1
             below, above = under[:, parents], over[:, parents]
             below, above = below - reach - 1e-9 * np.abs(below), above + reach + 1e-9 * np.abs(above)
-            near = np.flatnonzero(((above >= low[nodes]) & (below <= high[nodes])).any(axis=1))
+            overlaps = (above >= low[nodes]) & (below <= high[nodes])
             under[:, nodes], over[:, nodes] = below, above
         else:
-            near = np.arange(rows)
-        if len(near):
-            exact = (x if len(near) == rows else x[near]) @ block.vectors[nodes].astype(x.dtype).T
-            at = np.ix_(near, nodes)
+            overlaps = np.ones((rows, len(nodes)), bool)
+        # Anchors that many rows overlap take one product of matrices, the others one of vectors per row.
+        many = overlaps.sum(axis=0) * PAIR_COST >= rows
+        near = np.flatnonzero(overlaps[:, many].any(axis=1))
+        row, column = np.nonzero(overlaps & ~many)
+        blocks = ((np.ix_(near, nodes[many]), (x if len(near) == rows else x[near]) @ vectors[nodes[many]].T),
+                  ((row, nodes[column]), np.einsum("ij,ij->i", x[row], vectors[nodes[column]])))
+        for at, exact in blocks:
             scores[at], done[at], under[at], over[at] = exact, True, exact, exact
     return scores, done
 

@@ -9,6 +9,7 @@ from assaylake.llm.merkle_manifest import OP13_SQL, op13_merkle_manifest
 from assaylake.llm.mixing import op5_mixing
 from assaylake.llm.near_duplicates import op10_near_duplicates
 from assaylake.llm.pii import op8_pii
+from assaylake.llm.quality_classifier import op12_quality_classifier
 from assaylake.llm.quality_rules import op9_quality_rules
 from assaylake.llm.sharding import op7_sharding
 from assaylake.llm.substring_dedup import op6_substring_dedup
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_quality_rules": (op9_quality_rules, None),
     "op10_near_duplicates": (op10_near_duplicates, None),
     "op11_hard_negatives": (op11_hard_negatives, OP11_SQL),
+    "op12_quality_classifier": (op12_quality_classifier, None),
     "op13_merkle_manifest": (op13_merkle_manifest, OP13_SQL),
     "pages_language": (pages_language, None),
 }

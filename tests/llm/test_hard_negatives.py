@@ -36,10 +36,10 @@ def frame(spark, rows):
     return spark.createDataFrame([(*r, 1, 2, 3, "i", "v") for r in rows], SCHEMA).repartition(3)
 
 
-def clustered(n, width, seed, labels=3, spread=0.1):
+def clustered(n, width, seed, labels=3, spread=0.1, centres=6):
     draw = np.random.default_rng(seed)
-    centres = draw.normal(size=(6, width))
-    near = centres[draw.integers(0, 6, n)] + spread * draw.normal(size=(n, width))
+    middle = draw.normal(size=(centres, width))
+    near = middle[draw.integers(0, centres, n)] + spread * draw.normal(size=(n, width))
     return [(int(i), [float(x) for x in v], int(draw.integers(0, labels))) for i, v in enumerate(near)]
 
 
@@ -76,12 +76,12 @@ def test_sql_form(spark):
 
 
 def test_bounds_leave_out_most_of_what_does_not_overlap():
-    vectors = np.array([[math.floor(256 * x) for x in v] for _, v, _ in clustered(600, 16, 3, spread=0.03)], np.int64)
-    anchors = [{"uid": i, "id": i, "label": 0, "vector": v.tolist()} for i, v in enumerate(vectors[:60])]
+    vectors = np.array([[math.floor(256 * x) for x in v] for _, v, _ in clustered(2000, 16, 3, spread=0.03, centres=30)], np.int64)
+    anchors = [{"uid": i, "id": i, "label": 0, "vector": v.tolist()} for i, v in enumerate(vectors[:100])]
     block, = hard._blocks(anchors, None, 512)
     truth = vectors @ block.vectors.T
     low = np.sort(truth, axis=0)[-20]  # a window of each anchor's 20 best
-    scores, done = hard.scores_overlapping(vectors.astype(float), hard.norms_of(vectors), block, low, np.full(60, 2.0**60))
+    scores, done = hard.scores_overlapping(vectors.astype(float), hard.norms_of(vectors), block, low, np.full(100, 2.0**60))
     assert (scores[done] == truth[done]).all()
     assert done[truth >= low].all()
     assert done.mean() < 0.4
