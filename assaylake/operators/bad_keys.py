@@ -8,10 +8,12 @@ splits hot partitions otherwise, so no key is gathered in one task.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from assaylake.operators.rules import quote
 
@@ -88,3 +90,98 @@ def unmatched(
     bad = ~F.coalesce(F.col("_ok"), F.lit(False))
     joined = rows.filter("_v is not null").join(known.filter("_ref is not null"), F.col("_v") == F.col("_ref"), "left")
     return joined.filter(bad).select(*shown).union(rows.filter("_v is null").select(*shown))
+
+
+# --- many checks in one scan --------------------------------------------------------------
+
+
+@dataclass
+class Probe:
+    """A check that compares a key of each row with what is known about that key.
+
+    `key` is a text, equal for equal keys. A row fails a lookup if the key is NULL or not known as good,
+    and a duplicate check if its (`order`, `record`) is not the greatest of its key. Both have a type.
+    """
+
+    key: Column
+    known: DataFrame | None = None  # of a lookup: (key, good)
+    order: tuple[str, Column] | None = None
+    record: tuple[str, Column] | None = None
+
+
+_PLAIN = (
+    T.StringType, T.IntegralType, T.DecimalType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType,
+    T.FractionalType, T.BinaryType,
+)
+
+
+def key_text(column: Column, kind: T.DataType) -> Column | None:
+    """A text that is equal for equal values; None for kinds without one. NULL stays NULL."""
+    if not isinstance(kind, _PLAIN):
+        return None
+    if isinstance(kind, T.BinaryType):
+        return F.hex(column)
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return F.when(column == 0, F.lit("0")).otherwise(column.cast("string"))  # zero has two signs
+    return column.cast("string")
+
+
+def _kind(df: DataFrame, column: str) -> T.DataType:
+    return df.select(F.col(quote(column))).schema[0].dataType
+
+
+def duplicate_probe(df: DataFrame, columns: list[str], order: str | None, key: str) -> Probe | None:
+    texts = [key_text(F.col(quote(c)), _kind(df, c)) for c in columns]
+    if any(t is None for t in texts):
+        return None
+    # Lengths keep the texts of several columns apart, and NULL from all of them.
+    group = F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts])
+    typed = lambda c: (_kind(df, c).simpleString(), F.col(quote(c)))
+    return Probe(group, order=typed(order) if order else ("int", F.lit(None).cast("int")), record=typed(key))
+
+
+def lookup_probe(df: DataFrame, column: str, reference: DataFrame, reference_column: str, filled: str) -> Probe | None:
+    kind = _kind(df, column)
+    key, known = key_text(F.col(quote(column)), kind), key_text(F.col(quote(reference_column)), kind)
+    if key is None or kind != _kind(reference, reference_column):
+        return None
+    good = reference.filter(F.col(quote(reference_column)).isNotNull()).groupBy(known.alias("key")).agg(
+        F.min(F.col(quote(filled)).isNotNull()).alias("good"))
+    return Probe(key, known=good)
+
+
+def probed_hits(df: DataFrame, hits: list[Column], probes: list[tuple[int, Column, Probe]]) -> DataFrame:
+    """The fields of the given hits that are not NULL and of the probes' hits that fail, from one scan of `df`.
+
+    A probe comes with its position and its hit. The latest rows of all repeated groups, of every duplicate
+    check, come from one aggregate before; with the reference keys they form one table of known keys, which
+    one join compares with all keys of the rows. Adaptive execution broadcasts it or splits hot partitions.
+    """
+    duplicates = [(i, p) for i, _, p in probes if p.order]
+    kinds = sorted({x[0] for _, p in duplicates for x in (p.order, p.record)})
+
+    def rank(p: Probe | None) -> Column:
+        """(order, record), each in the field of its type; the others are NULL."""
+        fields = [F.lit(None).cast(kind) if not p or not p.order or side[0] != kind else side[1]
+                  for side in ((p.order, p.record) if p and p.order else (None, None)) for kind in kinds]
+        return F.struct(*[f.alias(f"r{n}") for n, f in enumerate(fields)]) if kinds else F.lit(None).cast("int")
+
+    known = [p.known.select(F.lit(i).alias("_at"), F.col("key").alias("_known"), "good", rank(None).alias("_latest"))
+             for i, _, p in probes if p.known is not None]
+    if duplicates:
+        groups = F.array(*[F.struct(F.lit(i).alias("_at"), p.key.alias("_known"), rank(p).alias("_rank")) for i, p in duplicates])
+        latest = df.select(F.inline(groups)).groupBy("_at", "_known").agg(
+            F.max("_rank").alias("_latest"), F.count(F.lit(1)).alias("_size")).filter("_size > 1")
+        known.append(latest.select("_at", "_known", F.lit(None).cast("boolean").alias("good"), "_latest"))
+    # A hit that is certain meets no known key; its own text spreads it in the join.
+    certain = lambda hit: F.when(hit.isNotNull(), F.struct(
+        hit.alias("_hit"), F.concat(F.lit("!"), hit["record_key"]).alias("_key"), F.lit("hit").alias("_as"), rank(None).alias("_rank")))
+    asked = [F.struct(
+        hit.alias("_hit"), F.coalesce(p.key, F.concat(F.lit("!"), hit["record_key"])).alias("_key"),
+        F.lit("duplicate" if p.order else "lookup").alias("_as"), rank(p).alias("_rank")) for _, hit, p in probes]
+    emitted = df.select(F.explode(F.array(*[certain(h) for h in hits], *asked)).alias("_e")).filter("_e is not null").select("_e.*")
+    table = reduce(DataFrame.unionByName, known)
+    joined = emitted.join(table, (F.col("_hit._pos") == F.col("_at")) & (F.col("_key") == F.col("_known")), "left")
+    unknown = (F.col("_as") == "lookup") & ~F.coalesce("good", F.lit(False))
+    older = (F.col("_as") == "duplicate") & F.col("_latest").isNotNull() & ~F.col("_rank").eqNullSafe(F.col("_latest"))
+    return joined.filter((F.col("_as") == "hit") | unknown | older).select("_hit.*")

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assaylake.functions.columns import FAIL, PASS, SOFT, any_of, ntz
-from assaylake.operators.bad_keys import superseded, unmatched
+from assaylake.operators.bad_keys import Probe, duplicate_probe, lookup_probe, probed_hits, superseded, unmatched
+from assaylake.operators.row_errors import NEVER, error_condition
 from assaylake.operators.rules import (
     Check,
     FeedError,
@@ -32,6 +33,7 @@ RESULT_SCHEMA = (
     "record_key string, record_value string, result string, record_ins_ts timestamp_ntz, record_ins_by string, "
     "dq_check_sql string"
 )
+ERROR = "ERROR"  # the result of a row on which a check has no value
 # Conditions evaluated in one projection; more feeds make more projections.
 CHECKS_PER_PASS = 100
 
@@ -47,6 +49,8 @@ class Evaluation:
     keys: dict[int, str] = field(default_factory=dict)  # record key column of each feed
     conditions: list[tuple[Check, Column]] = field(default_factory=list)
     joined_results: DataFrame | None = None  # violations of the checks that look at other rows
+    captured: DataFrame | None = None  # `results` and a row with the result ERROR for each row that an expression fails on
+    fallible: list[int] = field(default_factory=list)  # feeds that may have such rows
 
 
 def pending_rows(df: DataFrame, status: str = "dq_status") -> DataFrame:
@@ -63,13 +67,17 @@ def evaluate(
     tables: Mapping[str, DataFrame] | Tables | None = None,
     unique_key: bool = True,
     duplicates_among: str = "pending",
+    capture_errors: bool = False,
 ) -> Evaluation:
     """One row per violation of any check on the pending rows of `df`.
 
-    All expression checks share one scan. A check that does not analyse is reported in
-    `errors` and left out. `unique_key` states that the record keys identify rows, so that
-    statuses may be judged in place. Duplicates are looked for among the pending rows, or
-    among "all" rows.
+    A check that does not analyse is reported in `errors` and left out. All expression, duplicate and lookup
+    checks share one scan, and the duplicate checks one before it that finds their repeated groups.
+    `unique_key` states that the record keys identify rows; without it duplicates and lookups are looked for
+    check by check. Duplicates are looked for among the pending rows, or among "all" rows.
+
+    With `capture_errors` a row on which an expression would fail, such as a cast of a text that is no
+    number, is no violation of that feed but a row of `captured` with the result ERROR, in the same scan.
     """
     checks = list(checks)
     compared = df if duplicates_among == "all" and "dq_status" in df.columns else None
@@ -77,70 +85,125 @@ def evaluate(
     find = table_lookup(tables)
     errors: list[tuple[Check, str]] = []
     usable: list[Check] = []
-    conditions: list[tuple[Check, Column, str]] = []
+    conditions: list[Condition] = []
+    probes: list[tuple[Check, Probe, str]] = []
     others: list[tuple[Check, DataFrame, str]] = []
     for check in checks:
         try:
             need_columns(source, [check.feed.record_key_nm])
             if check.kind == "expression":
-                conditions.append((check, *failing_condition(source, check, as_of)))
+                conditions.append(_condition(source, check, as_of, capture_errors))
+            elif unique_key and compared is None and (probe := _probe(source, check, find)):
+                probes.append((check, probe, _evidence(source, check, compared)))
             else:
                 others.append((check, *_violations(source, check, as_of, find, compared)))
             usable.append(check)
         except (FeedError, PySparkException) as error:
             errors.append((check, str(error)))
 
-    parts = []
-    for start in range(0, len(conditions), CHECKS_PER_PASS):
-        parts.append(_expression_results(source, conditions[start : start + CHECKS_PER_PASS], batch_id, as_of))
+    passes = [conditions[i : i + CHECKS_PER_PASS] for i in range(0, len(conditions), CHECKS_PER_PASS)] or [[]]
+    parts = [_one_scan(source, own, probes if i == 0 else [], batch_id, as_of) for i, own in enumerate(passes)]
     joined = [_with_feed(hits.withColumn("_pos", F.lit(0)), [(c, sql)], batch_id, as_of) for c, hits, sql in others]
-    joined_results = reduce(DataFrame.unionByName, joined) if joined else None
-    parts += joined
-    results = reduce(DataFrame.unionByName, parts) if parts else frame(df.sparkSession, [], RESULT_SCHEMA)
+    parts = [p for p in parts if p is not None] + joined
+    probed = _one_scan(source, [], probes, batch_id, as_of)
+    joined += [] if probed is None else [probed]
+    captured = reduce(DataFrame.unionByName, parts) if parts else frame(df.sparkSession, [], RESULT_SCHEMA)
+    fallible = [c.check.feed.feed_id for c in conditions if c.raises is not None]
     return Evaluation(
         pending=source,
-        results=results,
+        results=captured.filter(F.col("result") != ERROR) if fallible else captured,
         checks=usable,
         errors=errors,
         keys={c.feed.feed_id: c.feed.record_key_nm for c in usable},
-        conditions=[(c, condition) for c, condition, _ in conditions],
-        joined_results=joined_results,
+        conditions=[(c.check, c.fails) for c in conditions],
+        joined_results=reduce(DataFrame.unionByName, joined) if joined else None,
+        captured=captured,
+        fallible=fallible,
     )
 
 
-def _expression_results(df: DataFrame, conditions, batch_id: str, as_of: str) -> DataFrame:
-    """One scan for many checks: rows with a hit become an array of (position, value)."""
-    hits = [
-        F.when(
-            condition,
-            F.struct(
-                F.lit(i).alias("_pos"),
-                F.col(quote(check.feed.record_key_nm)).cast("string").alias("record_key"),
-                value_text(check.feed.inputs).alias("record_value"),
-            ),
+@dataclass
+class Condition:
+    check: Check
+    fails: Column
+    sql: str
+    raises: Column | None = None  # true for rows on which the expression has no value
+
+
+def _condition(source: DataFrame, check: Check, as_of: str, capture_errors: bool) -> Condition:
+    fails, sql = failing_condition(source, check, as_of)
+    if capture_errors:
+        text = error_condition(source, sql)
+        if text != NEVER:
+            raises = F.coalesce(F.expr(text), F.lit(False))
+            return Condition(check, F.when(~raises, fails), sql, raises)
+    return Condition(check, fails, sql)
+
+
+def _probe(source: DataFrame, check: Check, find: Tables) -> Probe | None:
+    """The check as a comparison of keys; None if its columns are of kinds that have no plain text."""
+    feed = check.feed
+    if check.kind == "duplicate":
+        need_columns(source, [*feed.inputs, *([feed.incremental_date_column] if feed.incremental_date_column else [])])
+        return duplicate_probe(source, feed.inputs, feed.incremental_date_column, feed.record_key_nm)
+    if check.kind == "lookup":
+        need_columns(source, feed.inputs)
+        reference, column, filled = _reference(check, find)
+        return lookup_probe(source, feed.inputs[0], reference, column, filled)
+    return None
+
+
+def _reference(check: Check, find: Tables) -> tuple[DataFrame, str, str]:
+    feed = check.feed
+    reference = find(feed.dq_rule_input_join_tbl)
+    if not feed.dq_rule_input_join_col:
+        raise FeedError("a lookup needs a reference column")
+    filled = feed.dq_rule_input_where_col or feed.dq_rule_input_join_col
+    need_columns(reference, [feed.dq_rule_input_join_col, filled])
+    return reference, feed.dq_rule_input_join_col, filled
+
+
+def _one_scan(df: DataFrame, conditions: list[Condition], probes, batch_id: str, as_of: str) -> DataFrame | None:
+    """Violations of many checks in one scan: each row becomes an array of its hits and of the keys to compare."""
+    if not conditions and not probes:
+        return None
+
+    def hit(i: int, check: Check, error: bool) -> Column:
+        return F.struct(
+            F.lit(i).alias("_pos"), F.lit(error).alias("_error"),
+            F.col(quote(check.feed.record_key_nm)).cast("string").alias("record_key"),
+            value_text(check.feed.inputs).alias("record_value"),
         )
-        for i, (check, condition, _) in enumerate(conditions)
-    ]
-    bad = df.filter(any_of(condition for _, condition, _ in conditions))
-    exploded = bad.select(F.explode(F.array(*hits)).alias("_hit")).filter("_hit is not null").select("_hit.*")
-    own = [(check, sql) for check, _, sql in conditions]
-    return _with_feed(exploded, own, batch_id, as_of, wrap=True, waiting=waiting_text(df))
+
+    found = []
+    for i, c in enumerate(conditions):
+        own = F.when(c.fails, hit(i, c.check, False))
+        found.append(own if c.raises is None else F.when(c.raises, hit(i, c.check, True)).otherwise(own))
+    waiting = waiting_text(df)
+    shown = [(c.check, f"SELECT * FROM {c.check.feed.table_nm} WHERE {waiting} AND ({c.sql})") for c in conditions]
+    shown += [(check, sql) for check, _, sql in probes]
+    if probes:
+        first = len(conditions)
+        numbered = [(first + i, hit(first + i, check, False), probe) for i, (check, probe, _) in enumerate(probes)]
+        hits = probed_hits(df, found, numbered)
+    else:
+        bad = df.filter(any_of(x for c in conditions for x in (c.fails, c.raises) if x is not None))
+        hits = bad.select(F.explode(F.array(*found)).alias("_hit")).filter("_hit is not null").select("_hit.*")
+    return _with_feed(hits, shown, batch_id, as_of, errors=any(c.raises is not None for c in conditions))
 
 
 def _with_feed(
-    hits: DataFrame, checks: list[tuple[Check, str]], batch_id: str, as_of: str, wrap=False, waiting: str = "TRUE"
+    hits: DataFrame, checks: list[tuple[Check, str]], batch_id: str, as_of: str, errors: bool = False
 ) -> DataFrame:
-    """Attach what the feed says about a violation; the feed is known by its position."""
+    """Attach what the feed says about a violation and the query that shows it; the feed is known by its position."""
 
     def constant(values, kind: str) -> Column:
         if len(values) == 1:
             return F.lit(values[0]).cast(kind)
         return F.get(F.array(*[F.lit(v).cast(kind) for v in values]), F.col("_pos"))
 
-    def evidence(check: Check, sql: str) -> str:
-        return f"SELECT * FROM {check.feed.table_nm} WHERE {waiting} AND ({sql})" if wrap else sql
-
     only = [c for c, _ in checks]
+    result = constant([c.result for c in only], "string")
     return hits.select(
         F.lit(batch_id).alias("dq_batch_id"),
         F.lit(only[0].feed.layer).alias("layer"),
@@ -150,17 +213,36 @@ def _with_feed(
         constant([c.feed.feed_id for c in only], "bigint").alias("feed_id"),
         F.col("record_key"),
         F.col("record_value"),
-        constant([c.result for c in only], "string").alias("result"),
+        (F.when(F.col("_error"), ERROR).otherwise(result) if errors else result).alias("result"),
         ntz(as_of).alias("record_ins_ts"),
         F.current_user().alias("record_ins_by"),
-        constant([evidence(c, sql) for c, sql in checks], "string").alias("dq_check_sql"),
+        constant([sql for _, sql in checks], "string").alias("dq_check_sql"),
+    )
+
+
+def _evidence(df: DataFrame, check: Check, compared) -> str:
+    """A query that shows the violations of a duplicate or lookup check."""
+    feed, waiting = check.feed, waiting_text(df)
+    if check.kind == "duplicate":
+        order, key = feed.incremental_date_column, quote(feed.record_key_nm)
+        by = ", ".join(quote(c) for c in feed.inputs)
+        inner, outer = (f"WHERE {waiting}", "") if compared is None else ("", f" AND {waiting}")
+        newest = f"{quote(order)} DESC, {key} DESC" if order else f"{key} DESC"
+        return (
+            f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {by} ORDER BY {newest}) AS _place "
+            f"FROM {feed.table_nm} {inner}) WHERE _place > 1{outer}"
+        )
+    filled = feed.dq_rule_input_where_col or feed.dq_rule_input_join_col
+    return (
+        f"SELECT a.* FROM {feed.table_nm} a LEFT JOIN {feed.dq_rule_input_join_tbl} b "
+        f"ON a.{quote(feed.inputs[0])} = b.{quote(feed.dq_rule_input_join_col)} "
+        f"WHERE {'a.' if waiting != 'TRUE' else ''}{waiting} AND b.{quote(filled)} IS NULL"
     )
 
 
 def _violations(df, check: Check, as_of, find: Tables, compared) -> tuple[DataFrame, str]:
     """Violations of a check that looks at more than one row, and a query that shows them."""
     feed = check.feed
-    key, waiting = quote(feed.record_key_nm), waiting_text(df)
     if check.kind == "query":
         return _query_violations(df, check, as_of, find)
     need_columns(df, feed.inputs)
@@ -168,28 +250,14 @@ def _violations(df, check: Check, as_of, find: Tables, compared) -> tuple[DataFr
         order = feed.incremental_date_column
         if order:
             need_columns(df, [order])
-        by = ", ".join(quote(c) for c in feed.inputs)
-        inner, outer = (f"WHERE {waiting}", "") if compared is None else ("", f" AND {waiting}")
-        newest = f"{quote(order)} DESC, {key} DESC" if order else f"{key} DESC"
-        sql = (
-            f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {by} ORDER BY {newest}) AS _place "
-            f"FROM {feed.table_nm} {inner}) WHERE _place > 1{outer}"
-        )
+        sql = _evidence(df, check, compared)
         if compared is not None:
             new = F.col("dq_status").isNull()
             return superseded(compared, feed.inputs, order, feed.record_key_nm, report=new), sql
         return superseded(df, feed.inputs, order, feed.record_key_nm), sql
-    reference = find(feed.dq_rule_input_join_tbl)
-    if not feed.dq_rule_input_join_col:
-        raise FeedError("a lookup needs a reference column")
-    filled = feed.dq_rule_input_where_col or feed.dq_rule_input_join_col
-    need_columns(reference, [feed.dq_rule_input_join_col, filled])
-    sql = (
-        f"SELECT a.* FROM {feed.table_nm} a LEFT JOIN {feed.dq_rule_input_join_tbl} b "
-        f"ON a.{quote(feed.inputs[0])} = b.{quote(feed.dq_rule_input_join_col)} "
-        f"WHERE {'a.' if waiting != 'TRUE' else ''}{waiting} AND b.{quote(filled)} IS NULL"
-    )
-    return unmatched(df, feed.inputs[0], reference, feed.dq_rule_input_join_col, filled, feed.record_key_nm), sql
+    reference, column, filled = _reference(check, find)
+    hits = unmatched(df, feed.inputs[0], reference, column, filled, feed.record_key_nm)
+    return hits, _evidence(df, check, compared)
 
 
 def _query_violations(df: DataFrame, check: Check, as_of, find: Tables) -> tuple[DataFrame, str]:

@@ -29,6 +29,17 @@ def newer_than(source: DataFrame, column: str, mark: str) -> DataFrame:
     return source.filter(F.col(column) > ntz(mark))
 
 
+def newer_or_equal(source: DataFrame, column: str, mark: str) -> DataFrame:
+    return source.filter(F.col(column) >= ntz(mark))
+
+
+def not_staged(found: DataFrame, staged: DataFrame, identity: list[str]) -> DataFrame:
+    """Rows of a second reading that no staged row is equal to in `identity`; NULLs are equal."""
+    held = staged.select(*[F.col(c).alias(f"_held_{c}") for c in identity]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_held_{c}")) for c in identity])
+    return found.join(held, same, "left_anti")
+
+
 def within_window(source: DataFrame, column: str, previous_end: str, now: str) -> DataFrame:
     """Rows after the end of the previous batch, up to and including now."""
     return source.filter((F.col(column) > ntz(previous_end)) & (F.col(column) <= ntz(now)))
@@ -118,27 +129,15 @@ def join_reference(rows: DataFrame, key: str, reference: DataFrame, reference_ke
     return rows.join(right, F.col(key) == F.col("_key"), "left").drop("_key")
 
 
-def upsert(
-    target: DataFrame,
-    source: DataFrame,
-    key: str,
-    updated: Iterable[str],
-    as_of: str,
-    *,
-    insert_defaults: Mapping[str, Column] | None = None,
-    reset_unchanged: bool = False,
-) -> DataFrame:
-    """The target after update-or-insert by `key`.
-
-    Matched rows take the `updated` columns and lose their status, by default only if one
-    of these columns changed; other columns keep the target's value. Rows only in the
-    target stay as they are. The source must hold each key once; a NULL key never
-    matches, so such rows are inserted.
-    """
+def _merged(
+    target: DataFrame, source: DataFrame, key: str, updated: Iterable[str], as_of: str, how: str,
+    insert_defaults: Mapping[str, Column] | None, reset_unchanged: bool,
+) -> tuple[DataFrame, Column, list[Column]]:
+    """(target joined to the source, whether a row is new or changed, the target's columns after the load)."""
     updated = list(updated)
     src = source.select(*[F.col(c).alias(f"_s_{c}") for c in source.columns], F.lit(True).alias("_in_source"))
     tgt = target.withColumn("_in_target", F.lit(True))
-    both = tgt.join(src, F.col(key) == F.col(f"_s_{key}"), "full_outer")
+    both = tgt.join(src, F.col(key) == F.col(f"_s_{key}"), how)
     matched = F.col("_in_target").isNotNull() & F.col("_in_source").isNotNull()
     changed = matched
     if not reset_unchanged:
@@ -165,7 +164,44 @@ def upsert(
             kept = F.when(changed, ntz(as_of)).otherwise(kept)
         return F.when(inserted, fresh).otherwise(kept).cast(kind).alias(name)
 
-    return both.select(*[value(f) for f in target.schema.fields])
+    return both, inserted | changed, [value(f) for f in target.schema.fields]
+
+
+def upsert(
+    target: DataFrame,
+    source: DataFrame,
+    key: str,
+    updated: Iterable[str],
+    as_of: str,
+    *,
+    insert_defaults: Mapping[str, Column] | None = None,
+    reset_unchanged: bool = False,
+) -> DataFrame:
+    """The target after update-or-insert by `key`.
+
+    Matched rows take the `updated` columns and lose their status, by default only if one
+    of these columns changed; other columns keep the target's value. Rows only in the
+    target stay as they are. The source must hold each key once; a NULL key never
+    matches, so such rows are inserted.
+    """
+    both, _, columns = _merged(target, source, key, updated, as_of, "full_outer", insert_defaults, reset_unchanged)
+    return both.select(*columns)
+
+
+def upserted_rows(
+    target: DataFrame, source: DataFrame, key: str, updated: Iterable[str], as_of: str, *,
+    insert_defaults: Mapping[str, Column] | None = None, reset_unchanged: bool = False, part: str = "_part",
+) -> DataFrame:
+    """Only the rows that an `upsert` changes or inserts, as they are after it.
+
+    `part` is a column of the target that says where a row lies; it is kept, NULL for an inserted row.
+    """
+    plain = target.drop(part)
+    both, touched, columns = _merged(
+        target.withColumnRenamed(part, "_lies_in"), source, key, updated, as_of, "right", insert_defaults, reset_unchanged)
+    names = [f.name for f in target.withColumnRenamed(part, "_lies_in").schema.fields]
+    kept = [c for c, name in zip(columns, names) if name != "_lies_in"]
+    return both.filter(touched).select(*kept, F.col("_lies_in").alias(part)).select(*plain.columns, part)
 
 
 # --- history ---------------------------------------------------------------------------

@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from assaylake.functions.columns import FAIL
-from assaylake.operators.evaluate import Evaluation, evaluate, merge_statuses, pending_rows, recorded, score_rows
+from assaylake.operators.evaluate import ERROR, Evaluation, evaluate, merge_statuses, pending_rows, recorded, score_rows
 from assaylake.operators.rules import Check
 from assaylake.operators.summary import failed_records, gate
-from assaylake.sources.lake import Lake
+from assaylake.sources.lake import Change, Lake, observed
 from assaylake.sources.metadata import as_schema, frame
 
 LOG_SCHEMA = (
@@ -23,8 +23,9 @@ LOG_SCHEMA = (
 )
 
 
-def log_rows(lake: Lake, rows: Iterable[tuple]) -> None:
-    lake.append("audit", "dq_log", frame(lake.spark, list(rows), LOG_SCHEMA).coalesce(1))
+def log_rows(target: Lake | Change, rows: Iterable[tuple]) -> None:
+    lake = target if isinstance(target, Lake) else target.lake
+    target.append("audit", "dq_log", frame(lake.spark, list(rows), LOG_SCHEMA).coalesce(1))
 
 
 def run_checks(
@@ -43,9 +44,9 @@ def run_checks(
 ) -> dict:
     """Check the pending rows of a table. A run that cannot finish reports FAILED, which stops the package.
 
-    A feed that cannot be evaluated is logged and left out; the outcome lists the critical
-    ones as `failed_critical_feeds`. With `fail_closed` such a feed fails the run before any
-    status is written.
+    A feed that cannot be evaluated, or fails on some row, is logged and left out; the outcome lists the
+    critical ones as `failed_critical_feeds`. With `fail_closed` such a feed fails the run before any
+    status is written. Violations, statuses and the log become visible in one commit.
     """
     started = datetime.now()
 
@@ -53,44 +54,67 @@ def run_checks(
         return (batch_id, layer, domain, table, feed_id, started, datetime.now(), message, total, failed, status)
 
     try:
-        rows, last = lake.read_pending(layer, table, schema)
-        if not last or pending_rows(rows).isEmpty():
+        rows, waiting = lake.read_pending(layer, table, schema)
+        if not waiting or pending_rows(rows).isEmpty():
             log_rows(lake, [log(None, None, None, 0, 0, "Success")])
             return _outcome(lake, layer, table, batch_id, 0, 0, settings)
 
-        outcome, found = _record(lake, rows, checks, batch_id, as_of, tables, unique_key)
-        critical = [check.feed.feed_id for check, _ in outcome.errors if check.result == FAIL]
-        errors = [log(c.feed.domain, c.feed.feed_id, message, 0, 0, "Fail") for c, message in outcome.errors]
-        if critical and fail_closed:
-            log_rows(lake, errors)
-            raise ValueError(f"critical feeds that cannot be evaluated: {critical}")
-        marked = rows.withColumn("_pending", F.col("dq_status").isNull())
-        if unique_key:
-            scored = score_rows(marked, recorded(outcome, found))
-        else:
-            scored = merge_statuses(marked, found, outcome.keys)
-        seen = Observation()
-        failing = F.col("_pending") & (F.col("dq_status") == FAIL)
-        scored = scored.observe(seen, F.count_if("_pending").alias("total"), F.count_if(failing).alias("failed"))
-        lake.replace_pending(layer, table, scored.select(*as_schema(schema).names), last)
-        total, failed = seen.get["total"], seen.get["failed"]
-        if not unique_key:  # several rows may share a failed key
-            failed = failed_records(found).first()["failed_count"]
-
-        log_rows(lake, [*errors, log(None, None, None, total, failed, "Success")])
+        with lake.change() as change:
+            outcome, found = _record(change, rows, checks, batch_id, as_of, tables, unique_key)
+            critical = [check.feed.feed_id for check, _ in outcome.errors if check.result == FAIL]
+            errors = [log(c.feed.domain, c.feed.feed_id, message, 0, 0, "Fail") for c, message in outcome.errors]
+            if critical and fail_closed:
+                log_rows(lake, errors)
+                raise ValueError(f"critical feeds that cannot be evaluated: {critical}")
+            marked = rows.withColumn("_pending", F.col("dq_status").isNull())
+            if unique_key:
+                scored = score_rows(marked, recorded(outcome, found))
+            else:
+                scored = merge_statuses(marked, found, outcome.keys)
+            seen = Observation()
+            failing = F.col("_pending") & (F.col("dq_status") == FAIL)
+            scored = scored.observe(seen, F.count_if("_pending").alias("total"), F.count_if(failing).alias("failed"))
+            change.replace_pending(layer, table, scored.select(*as_schema(schema).names), waiting)
+            counts = observed(seen, "total", "failed")
+            total, failed = counts["total"], counts["failed"]
+            if not unique_key:  # several rows may share a failed key
+                failed = failed_records(found).first()["failed_count"]
+            log_rows(change, [*errors, log(None, None, None, total, failed, "Success")])
         return {**_outcome(lake, layer, table, batch_id, total, failed, settings), "failed_critical_feeds": critical}
     except Exception as error:  # reported to the caller as a failed step
         log_rows(lake, [log(None, None, str(error), 0, 0, "Fail")])
         return {"status": "FAILED", "table": table, "layer": layer, "error": str(error), "threshold_exceeded": True}
 
 
-def _record(lake: Lake, rows, checks, batch_id, as_of, tables, unique_key) -> tuple[Evaluation, DataFrame]:
-    """Write the violations. If a check fails at run time, the checks are tried one by one
-    and the failing ones are left out, so that one bad feed does not hide the others."""
+def _record(change: Change, rows, checks, batch_id, as_of, tables, unique_key) -> tuple[Evaluation, DataFrame]:
+    """Write the violations, and count in the same pass the rows that each expression fails on.
+
+    Feeds with such rows are left out, which takes a pass over the violations only. If a check fails in a way
+    that its expression does not show, the checks are tried one by one, so that one bad feed does not hide
+    the others.
+    """
 
     def attempt(chosen: list[Check]) -> tuple[Evaluation, DataFrame]:
-        outcome = evaluate(rows, chosen, batch_id=batch_id, as_of=as_of, tables=tables, unique_key=unique_key)
-        return outcome, lake.append("audit", "dq_result", outcome.results, ("dq_batch_id",))
+        outcome = evaluate(
+            rows, chosen, batch_id=batch_id, as_of=as_of, tables=tables, unique_key=unique_key, capture_errors=True)
+        by = ("dq_batch_id",)
+        if not outcome.fallible:
+            return outcome, change.append("audit", "dq_result", outcome.results, by)
+        seen = Observation()
+        failed = F.col("result") == ERROR
+        counts = [F.count_if(failed & (F.col("feed_id") == feed)).alias(str(feed)) for feed in outcome.fallible]
+        found = change.append("audit", "dq_result", outcome.captured.observe(seen, *counts), by)
+        broken = {int(feed): n for feed, n in observed(seen).items() if n}
+        if not broken:
+            return outcome, found
+        change.remove(change.added[-1:])
+        left = change.append("audit", "dq_result", found.filter(~F.col("feed_id").isin(list(broken))), by)
+        errors = [(c, f"the expression fails on {broken[c.feed.feed_id]} rows") for c in chosen if c.feed.feed_id in broken]
+        return replace(
+            outcome, results=left, errors=outcome.errors + errors,
+            checks=[c for c in outcome.checks if c.feed.feed_id not in broken],
+            keys={feed: key for feed, key in outcome.keys.items() if feed not in broken},
+            conditions=[(c, x) for c, x in outcome.conditions if c.feed.feed_id not in broken]), left
 
     try:
         return attempt(checks)

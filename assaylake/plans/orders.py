@@ -99,7 +99,7 @@ class OrderLoad:
 
     def track_history(self, run_id: str, mode: str) -> dict:
         return steps.history_step(
-            self.lake, self.dimension(), "customer_history", HISTORY, "customer_bk", TRACKED, run_id, self.as_of)
+            self.lake, "dim_customer", DIM_CUSTOMER, "customer_history", HISTORY, "customer_bk", TRACKED, run_id, self.as_of)
 
     def fact(self) -> DataFrame:
         current, closed = self.lake.read_history("silver", "customer_history", HISTORY)

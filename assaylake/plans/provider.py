@@ -167,9 +167,9 @@ class ProviderLoad:
     def track_history(self, run_id: str, mode: str) -> dict:
         if not self.enabled("ENABLE_SCD2"):
             return {"status": "COMPLETED"}
-        dimension = self.lake.read("silver", "dim_provider", DIM_PROVIDER)
         return steps.history_step(
-            self.lake, dimension, "scd2_provider_attributes", SCD2_PROVIDER, "provider_bk", TRACKED, run_id, self.as_of)
+            self.lake, "dim_provider", DIM_PROVIDER, "scd2_provider_attributes", SCD2_PROVIDER, "provider_bk", TRACKED,
+            run_id, self.as_of)
 
     def history(self) -> DataFrame:
         current, closed = self.lake.read_history("silver", "scd2_provider_attributes", SCD2_PROVIDER)
