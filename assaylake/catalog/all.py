@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("rules", "engine", "layers", "audit", "reports", "package")
+MODULES = ("rules", "engine", "layers", "audit", "reports", "package", "lake")
 
 QUERIES = {}
 for _module in MODULES:

@@ -14,6 +14,7 @@ from assaylake.catalog.inputs import (
     LINE_RESULTS_SQL,
     LINES_SQL,
     NATION_STATUS_SQL,
+    ORDERS_CLOCK,
     PART_FEEDS,
     PART_RESULTS_SQL,
     PART_STATUS_SQL,
@@ -29,6 +30,7 @@ from assaylake.catalog.inputs import (
 )
 from assaylake.operators import summary
 from assaylake.operators.evaluate import (
+    evaluate,
     merge_status,
     pending_rows,
     reset_status,
@@ -37,26 +39,20 @@ from assaylake.operators.evaluate import (
     worst_by_record,
 )
 from assaylake.operators.loads import layer_gate
-from assaylake.operators.rules import feed_plan
+from assaylake.operators.rules import feed_plan, plan_checks
 from assaylake.sources.metadata import (
     CATEGORIES,
     CATEGORY_SCHEMA,
     FEED_SCHEMA,
     RULE_SCHEMA,
     Feed,
+    Rule,
     frame,
 )
 from assaylake.sources.scratch import written_table
 from assaylake.sources.tables import table
 
 LIMITS = {"DQ_BRONZE_THRESHOLD": "90.00", "DQ_SILVER_THRESHOLD": "5.00"}
-# Values of these feeds are floating-point numbers; their text form is left out of comparisons.
-FLOATING = (1101, 1306, 1401)
-
-
-def _shown(results):
-    value = F.when(~F.col("feed_id").isin(*FLOATING), F.col("record_value")).alias("record_value")
-    return results.select(*[value if c == "record_value" else c for c in VIOLATION])
 
 
 def scored_parts(spark, folder):
@@ -74,7 +70,30 @@ def scored_nations(spark, folder):
 
 def results(spark, folder):
     """Ten feeds of all kinds on the line items."""
-    return _shown(check_lines(spark, folder).results)
+    return check_lines(spark, folder).results.select(*VIOLATION)
+
+
+def violation_record(spark, folder):
+    """All twelve columns of a violation; the user is compared with the session's."""
+    found = check_parts(spark, folder).results
+    return found.select(
+        "dq_batch_id", "layer", "domain", "table_nm", "rule_id", "feed_id", "record_key", "record_value", "result", "record_ins_ts",
+        (F.col("record_ins_by") == F.current_user()).alias("record_ins_by_user"), "dq_check_sql")
+
+
+DIVISION = [Rule(921, 6, "Share", "", "1000 / (${COL1} - 1) > 400", "MULTIPLE"), Rule(922, 6, "Number", "", "CAST(${INPUT1} AS INT) > 5", "SIMPLE")]
+DIVISION_FEEDS = [
+    Feed(1601, "BRONZE", "SALES", 921, "lineitem", "row_key", None, "l_linenumber", "Y"),
+    Feed(1602, "BRONZE", "SALES", 922, "lineitem", "row_key", None, "l_returnflag", "Y"),
+    Feed(1603, "BRONZE", "SALES", 101, "lineitem", "row_key", None, "l_returnflag", "N", dq_rule_input_where_col="'A','N'"),
+]
+
+
+def row_errors(spark, folder):
+    """A division by zero on some rows and a cast that fails on all, found in the scan of the other checks."""
+    checks = plan_checks([*CATALOG_RULES, *DIVISION], DIVISION_FEEDS, "lineitem", "BRONZE")
+    outcome = evaluate(lines(spark, folder), checks, batch_id=BATCH, as_of=ORDERS_CLOCK, capture_errors=True)
+    return outcome.captured.groupBy("feed_id", "result").agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def status_rollup(spark, folder):
@@ -255,7 +274,29 @@ def _distribution(sql, name):
     return f"SELECT '{name}' AS tbl, dq_status, count(*) AS cnt FROM ({sql}) GROUP BY dq_status"
 
 
+def _evidence_sql(feed, result, condition, where, value):
+    shown = f"SELECT * FROM part WHERE TRUE AND ({condition})".replace("'", "''")
+    rule = {1001: 2, 1002: 4, 1003: 101}[feed]
+    return (
+        f"SELECT '{BATCH}' AS dq_batch_id, 'BRONZE' AS layer, 'PARTS' AS domain, 'part' AS table_nm, CAST({rule} AS BIGINT) AS rule_id, "
+        f"CAST({feed} AS BIGINT) AS feed_id, CAST(p_partkey AS VARCHAR) AS record_key, CAST({value} AS VARCHAR) AS record_value, "
+        f"'{result}' AS result, TIMESTAMP '{ORDERS_CLOCK}' AS record_ins_ts, true AS record_ins_by_user, '{shown}' AS dq_check_sql "
+        f"FROM part WHERE {where}"
+    )
+
+
 QUERIES = {
+    "dq_violation_record": (violation_record, union_sql(
+        _evidence_sql(1001, "FAIL", "coalesce(trim(CAST(`p_type` AS STRING)), '') = ''", "trim(coalesce(p_type, '')) = ''", "p_type"),
+        _evidence_sql(1002, "PASS-SOFT", "length(trim(CAST(`p_size` AS STRING))) <> 2", "length(trim(CAST(p_size AS VARCHAR))) <> 2", "p_size"),
+        _evidence_sql(1003, "FAIL", "CAST(`p_brand` AS STRING) NOT IN ('Brand#1','Brand#2')", "p_brand NOT IN ('Brand#1', 'Brand#2')",
+                      "p_brand"))),
+    "dq_row_errors": (row_errors, union_sql(
+        "SELECT * FROM (SELECT CAST(1601 AS BIGINT) AS feed_id, 'ERROR' AS result, count(*) AS row_count FROM lineitem "
+        "WHERE l_linenumber = 1) WHERE row_count > 0",
+        "SELECT * FROM (SELECT 1601, 'FAIL', count(*) AS n FROM lineitem WHERE l_linenumber > 1 AND 1000 / (l_linenumber - 1) > 400) WHERE n > 0",
+        "SELECT * FROM (SELECT 1602, 'ERROR', count(l_returnflag) AS n FROM lineitem) WHERE n > 0",
+        "SELECT * FROM (SELECT 1603, 'PASS-SOFT', count(*) AS n FROM lineitem WHERE l_returnflag NOT IN ('A', 'N')) WHERE n > 0")),
     "dq_results": (results, LINE_RESULTS_SQL),
     "dq_status_rollup": (status_rollup, _ROLLUP.format(LINE_RESULTS_SQL)),
     "dq_status_merge": (status_merge, f"SELECT p_partkey, p_brand, dq_status FROM ({PART_STATUS_SQL})"),

@@ -137,7 +137,7 @@ PART_RESULTS_SQL = union_sql(
     violation_sql("part", 101, 1003, "p_partkey", "p_brand", "FAIL", "part", "p_brand NOT IN ('Brand#1', 'Brand#2')"),
 )
 CUSTOMER_RESULTS_SQL = union_sql(
-    violation_sql("customer", 115, 1101, "c_custkey", "NULL", "FAIL", "customer", "c_acctbal < 0"),
+    violation_sql("customer", 115, 1101, "c_custkey", "c_acctbal", "FAIL", "customer", "c_acctbal < 0"),
     violation_sql("customer", 101, 1102, "c_custkey", "c_mktsegment", "PASS-SOFT", "customer",
                   "c_mktsegment NOT IN ('BUILDING', 'MACHINERY', 'HOUSEHOLD', 'FURNITURE')"),
 )
@@ -146,7 +146,7 @@ LINE_RESULTS_SQL = union_sql(
                   "l_returnflag NOT IN ('A', 'N')"),
     violation_sql("lineitem", 9, 1305, "row_key", "strftime(l_shipdate, '%Y-%m-%d %H:%M:%S')", "PASS-SOFT", LINES_SQL,
                   "date_diff('day', l_shipdate, TIMESTAMP '2001-12-01 00:00:00') > 365"),
-    violation_sql("lineitem", 112, 1306, "row_key", "NULL", "FAIL", LINES_SQL, "l_quantity * l_discount > 4"),
+    violation_sql("lineitem", 112, 1306, "row_key", "l_quantity || ', ' || l_discount", "FAIL", LINES_SQL, "l_quantity * l_discount > 4"),
     violation_sql("lineitem", 113, 1307, "row_key", "l_returnflag || ', ' || l_linestatus", "PASS-SOFT", LINES_SQL,
                   "l_returnflag = 'R' AND l_linestatus = 'O'"),
     violation_sql("lineitem", 1, 1308, "row_key", "l_orderkey || ', ' || l_linenumber", "FAIL", LINES_SQL,
@@ -158,7 +158,7 @@ LINE_RESULTS_SQL = union_sql(
                   LINES_SQL + " JOIN orders ON l_orderkey = o_orderkey", "l_shipdate < o_orderdate"),
 )
 EVENT_RESULTS_SQL = union_sql(
-    violation_sql("events", 117, 1401, "event_id", "NULL", "FAIL", "events", "value > 100"),
+    violation_sql("events", 117, 1401, "event_id", "value", "FAIL", "events", "value > 100"),
     violation_sql("events", 101, 1402, "event_id", "event_type", "PASS-SOFT", "events",
                   "event_type NOT IN ('view', 'click', 'signup', 'purchase')"),
 )

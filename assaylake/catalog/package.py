@@ -26,7 +26,7 @@ from assaylake.operators.rules import plan_checks
 from assaylake.operators.summary import gate, summarize
 from assaylake.plans.orders import FEEDS, OrderLoad
 from assaylake.sources.lake import Lake
-from assaylake.sources.metadata import CONFIG_SCHEMA, FEED_SCHEMA, RULE_SCHEMA, Feed, Rule, frame, records
+from assaylake.sources.metadata import CONFIG_SCHEMA, FEED_SCHEMA, RULE_SCHEMA, Feed, Rule, frame, records, settings
 from assaylake.sources.scratch import scratch_dir
 from assaylake.sources.tables import table
 
@@ -67,6 +67,23 @@ def _steps(lake: Lake, runs: list[dict]) -> DataFrame:
                          "error_count", "start_count")
 
 
+def package_views(spark, folder) -> DataFrame:
+    """The monitoring views of a load, read by their names."""
+    lake = _lake(spark)
+    load = _load(spark, folder, lake, SECOND)
+    load.run("FULL")
+    load.register_views()
+    parts = [
+        "SELECT 'status' AS view_nm, concat_ws('|', tbl, dq_status) AS item, cnt FROM dq_status",
+        "SELECT 'failures', concat_ws('|', table_nm, rule_id), cnt FROM dq_failures",
+        "SELECT 'categories', category_nm, violation_count FROM dq_categories WHERE violation_count > 0",
+        "SELECT 'log', table_nm, overall_count FROM dq_current_log",
+        "SELECT 'steps', step_name, rows_read FROM step_states",
+        "SELECT 'runs', run_status, completed_steps FROM run_states",
+    ]
+    return spark.sql(" UNION ALL ".join(parts))
+
+
 def package_steps(spark, folder) -> DataFrame:
     """Counts of three good runs, and of one whose source has lost a column: its step ends with an ERROR event."""
     lake, load, runs = two_loads(spark, folder)
@@ -95,9 +112,9 @@ def from_tables(spark, folder) -> DataFrame:
     lake.append("config", "settings", frame(spark, [("DQ_BRONZE_THRESHOLD", "42.50", "NUMBER", "DQ")], CONFIG_SCHEMA))
     rules = records(lake.read("config", "rules", RULE_SCHEMA), Rule)
     feeds = records(lake.read("config", "feeds", FEED_SCHEMA), Feed)
-    settings = {r["config_key"]: r["config_value"] for r in lake.read("config", "settings", CONFIG_SCHEMA).collect()}
+    limits = settings(lake.read("config", "settings", CONFIG_SCHEMA))
     outcome = evaluate(table(spark, folder, "part"), plan_checks(rules, feeds, "part", "BRONZE"), batch_id=BATCH, as_of=SECOND)
-    gated = gate(summarize(outcome.pending, outcome.results, BATCH, "BRONZE", "part"), settings)
+    gated = gate(summarize(outcome.pending, outcome.results, BATCH, "BRONZE", "part"), limits)
     return gated.select("table_nm", "overall_count", "failed_count", "violation_count", "fail_pct",
                         F.col("threshold").cast("double").alias("threshold"), "threshold_exceeded")
 
@@ -212,7 +229,24 @@ _RESUMED = union_sql(
 _SIZED = "(SELECT CAST(p_partkey AS VARCHAR) AS record_key, 'FAIL' AS result FROM part WHERE p_size > 45)"
 _PART_VIOLATIONS = f"(SELECT record_key, result FROM ({PART_RESULTS_SQL}) UNION ALL SELECT * FROM {_SIZED})"
 
+_STAGED_STATUS = (  # orders have no key twice and no NULL customer
+    f"(SELECT CASE WHEN NOT {_GOOD} OR c_custkey IS NULL THEN 'FAIL' ELSE 'PASS' END AS st FROM orders LEFT JOIN customer "
+    "ON o_custkey = c_custkey)"
+)
+_VIEWS = union_sql(
+    f"SELECT 'status' AS view_nm, 'stg_orders|' || st AS item, count(*) AS cnt FROM {_STAGED_STATUS} GROUP BY st",
+    f"SELECT 'status', 'dim_customer|' || CASE WHEN s IN ('O', 'F') THEN 'PASS' ELSE 'PASS-SOFT' END, count(*) FROM ({_B}) GROUP BY ALL",
+    f"SELECT * FROM (SELECT 'failures', 'stg_orders|101', count(*) AS n FROM orders WHERE NOT {_GOOD}) WHERE n > 0",
+    f"SELECT * FROM (SELECT 'categories', 'Validity', (SELECT count(*) FROM orders WHERE NOT {_GOOD}) + "
+    f"(SELECT count(*) FROM ({_B}) WHERE s NOT IN ('O', 'F')) AS n) WHERE n > 0",
+    "SELECT 'log', 'stg_orders', count(*) FROM orders",
+    f"SELECT 'log', 'dim_customer', count(*) FROM ({_B})",
+    f"SELECT 'steps', step_name, rows_read FROM ({_run_sql(1, 'SELECT count(*) FROM orders', '0', *[_count(_B)] * 4)})",
+    "SELECT 'runs', 'COMPLETED', CAST(7 AS BIGINT)",
+)
+
 QUERIES = {
+    "package_views": (package_views, _VIEWS),
     "package_fact": (package_fact, _FACT),
     "package_steps": (package_steps, _STEPS),
     "package_resume": (package_resume, _RESUMED),

@@ -49,6 +49,11 @@ def qualified(status: Column) -> Column:
     return status.isin(*QUALIFIED)
 
 
+def detail(text: Column, path: str, kind: str) -> Column:
+    """A field of free-form details kept as JSON text; NULL where the text or the field is not of that form."""
+    return F.try_variant_get(F.try_parse_json(text), path, kind)
+
+
 def seconds_between(start: Column, end: Column) -> Column:
     """Number of second boundaries between two timestamps."""
     first, last = (F.date_trunc("second", c).cast("timestamp_ntz") for c in (start, end))

@@ -68,6 +68,7 @@ def evaluate(
     unique_key: bool = True,
     duplicates_among: str = "pending",
     capture_errors: bool = False,
+    found: Iterable[tuple[Check, DataFrame, str]] = (),
 ) -> Evaluation:
     """One row per violation of any check on the pending rows of `df`.
 
@@ -78,6 +79,8 @@ def evaluate(
 
     With `capture_errors` a row on which an expression would fail, such as a cast of a text that is no
     number, is no violation of that feed but a row of `captured` with the result ERROR, in the same scan.
+
+    `found` has checks whose violations (record_key, record_value) the caller has, and a text that shows how.
     """
     checks = list(checks)
     compared = df if duplicates_among == "all" and "dq_status" in df.columns else None
@@ -87,7 +90,8 @@ def evaluate(
     usable: list[Check] = []
     conditions: list[Condition] = []
     probes: list[tuple[Check, Probe, str]] = []
-    others: list[tuple[Check, DataFrame, str]] = []
+    others: list[tuple[Check, DataFrame, str]] = list(found)
+    usable += [check for check, _, _ in others]
     for check in checks:
         try:
             need_columns(source, [check.feed.record_key_nm])

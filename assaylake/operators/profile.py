@@ -108,20 +108,27 @@ def table_scores(per_feed: DataFrame, by: tuple[str, ...] = ("layer", "table_nm"
 
 
 def scorecard(per_feed: DataFrame, layer_weights: Mapping[str, int]) -> DataFrame:
-    """Scores of tables, of layers (mean of tables) and overall (weighted mean of layers)."""
-    tables = table_scores(per_feed)
-    layers = tables.groupBy("layer").agg(F.round(F.avg("score"), 2).alias("score"))
+    """Scores of tables, of layers (mean of tables) and overall (weighted mean of layers).
+
+    The totals per feed are computed once: each level keeps the rows below it, a row per table at most.
+    """
     weight = F.lit(None).cast("int")
     for layer, value in layer_weights.items():
         weight = F.when(F.col("layer") == layer, F.lit(value)).otherwise(weight)
     weight = F.coalesce(weight, F.lit(1))
-    overall = layers.agg(F.round(F.sum(F.col("score") * weight) / F.sum(weight), 2).alias("score"))
-    rows = [
-        tables.select(F.lit("TABLE").alias("scope"), F.col("table_nm").alias("name"), "score"),
-        layers.select(F.lit("LAYER").alias("scope"), F.col("layer").alias("name"), "score"),
-        overall.select(F.lit("OVERALL").alias("scope"), F.lit("ALL").alias("name"), "score"),
-    ]
-    return rows[0].unionByName(rows[1]).unionByName(rows[2]).withColumn("band", band(F.col("score")))
+
+    def row(scope: str, name: Column, score: Column) -> Column:
+        return F.struct(F.lit(scope).alias("scope"), name.alias("name"), score.alias("score"))
+
+    layers = table_scores(per_feed).groupBy("layer").agg(
+        F.round(F.avg("score"), 2).alias("score"),
+        F.collect_list(row("TABLE", F.col("table_nm"), F.col("score"))).alias("rows"))
+    whole = layers.agg(
+        F.round(F.sum(F.col("score") * weight) / F.sum(weight), 2).alias("score"),
+        F.flatten(F.collect_list("rows")).alias("tables"),
+        F.collect_list(row("LAYER", F.col("layer"), F.col("score"))).alias("layers"))
+    rows = F.concat("tables", "layers", F.array(row("OVERALL", F.lit("ALL"), F.col("score"))))
+    return whole.select(F.inline(rows)).withColumn("band", band(F.col("score")))
 
 
 def score_trend(scores: DataFrame, series: str, order: str, window: int, drop: float) -> DataFrame:

@@ -10,16 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Functions and operators with a form that gives NULL instead of an error.
+# Functions and operators with a form that gives NULL on an error and only then.
 TRY_FORMS = {
-    "element_at": "try_element_at",
     "make_date": "try_make_date",
     "make_interval": "try_make_interval",
     "make_timestamp": "try_make_timestamp",
     "mod": "try_mod",
     "parse_json": "try_parse_json",
-    "parse_url": "try_parse_url",
-    "reflect": "try_reflect",
     "to_binary": "try_to_binary",
     "to_date": "try_to_date",
     "to_number": "try_to_number",

@@ -12,6 +12,7 @@ from assaylake.functions.columns import decode
 from assaylake.operators.loads import denormalize, keep_latest, layer_gate
 from assaylake.plans import steps
 from assaylake.plans.package import run_package
+from assaylake.plans.views import monitoring_views
 from assaylake.sources.lake import Lake
 from assaylake.sources.metadata import RULES, Feed, Rule, Step
 
@@ -115,6 +116,11 @@ class OrderLoad:
     def summarize_rejects(self, run_id: str, mode: str) -> dict:
         return steps.reject_step(self.lake, run_id)
 
+    def register_views(self) -> None:
+        """Monitoring reports by name."""
+        monitoring_views(self.lake, {
+            "stg_orders": self.lake.read("bronze", "stg_orders", STG_ORDERS), "dim_customer": self.dimension()}, self.rules)
+
     def run(self, mode: str = "INCREMENTAL", resume_run_id: str | None = None) -> dict:
         functions = [
             self.stage_orders, self.check_bronze, self.load_dimension, self.check_silver, self.track_history,

@@ -9,25 +9,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assaylake.functions.columns import decode, ntz
-from assaylake.operators.audit import EVENT_SCHEMA, run_states, step_states
-from assaylake.operators.evaluate import RESULT_SCHEMA
 from assaylake.operators.loads import denormalize, hash_key, join_reference, keep_latest, layer_gate
-from assaylake.operators.profile import profile_columns, register_views
-from assaylake.operators.summary import category_rollup, current_log, status_distribution_all, violations_by_rule
+from assaylake.operators.profile import profile_columns
 from assaylake.plans import steps
-from assaylake.plans.checks import LOG_SCHEMA
 from assaylake.plans.package import run_package
+from assaylake.plans.views import monitoring_views
 from assaylake.sources.lake import Lake
 from assaylake.sources.metadata import (
-    CATEGORIES,
-    CATEGORY_SCHEMA,
     FEEDS,
-    RULE_SCHEMA,
     RULES,
     SETTINGS,
     STEPS,
-    as_schema,
-    frame,
 )
 
 # Table layouts.
@@ -206,24 +198,13 @@ class ProviderLoad:
     # --- monitoring ------------------------------------------------------------------------
 
     def register_views(self) -> None:
-        """Monitoring reports by name: statuses, failures per rule, dimension totals, current log, step and run states."""
+        """Monitoring reports by name."""
         lake = self.lake
-        results = lake.read("audit", "dq_result", RESULT_SCHEMA)
-        states = step_states(lake.read("audit", "step_event", EVENT_SCHEMA).filter("step_id is not null"))
-        register_views({
-            "dq_status": status_distribution_all({
-                "stg_npi_registry": lake.read("bronze", "stg_npi_registry", STG_REGISTRY),
-                "stg_specialty_type": lake.read("bronze", "stg_specialty_type", STG_SPECIALTY),
-                "dim_provider": lake.read("silver", "dim_provider", DIM_PROVIDER),
-            }),
-            "dq_failures": violations_by_rule(results, only_failed=True),
-            "dq_categories": category_rollup(
-                results, frame(lake.spark, self.rules, RULE_SCHEMA), frame(lake.spark, CATEGORIES, CATEGORY_SCHEMA)
-            ),
-            "dq_current_log": current_log(lake.read("audit", "dq_log", LOG_SCHEMA).filter("feed_id is null")),
-            "step_states": states,
-            "run_states": run_states(states),
-        })
+        monitoring_views(lake, {
+            "stg_npi_registry": lake.read("bronze", "stg_npi_registry", STG_REGISTRY),
+            "stg_specialty_type": lake.read("bronze", "stg_specialty_type", STG_SPECIALTY),
+            "dim_provider": lake.read("silver", "dim_provider", DIM_PROVIDER),
+        }, self.rules)
 
     def steps(self):
         functions = [

@@ -65,7 +65,7 @@ class Change:
     """Writes that become visible together, when the block ends without an error."""
 
     def __init__(self, lake: Lake):
-        self.lake, self.added, self.removed, self.properties = lake, [], [], {}
+        self.lake, self.added, self.removed, self.properties, self.expected = lake, [], [], {}, {}
         self.version: int | None = None
 
     def __enter__(self) -> Change:
@@ -73,7 +73,7 @@ class Change:
 
     def __exit__(self, kind, *_) -> None:
         if kind is None and (self.added or self.removed or self.properties):
-            self.version = self.lake.log.commit(self.added, self.removed, self.properties)
+            self.version = self.lake.log.commit(self.added, self.removed, self.properties, self.expected)
 
     def _state(self) -> State:
         """The newest state with what this change has done so far."""
@@ -87,6 +87,10 @@ class Change:
         name = name_of(layer, table)
         self.properties[name] = {**self.properties.get(name, {}), **properties}
 
+    def expect(self, layer: str, table: str, **properties) -> None:
+        """The commit fails if another writer has changed these properties since."""
+        self.expected[name_of(layer, table)] = properties
+
     def remove(self, parts: list[Part]) -> None:
         kept = {p.path for p in self.added}
         paths = {p.path for p in parts}

@@ -111,6 +111,19 @@ def records(df: DataFrame, kind):
     return [kind(**row.asDict()) for row in df.select(*names).collect()]
 
 
+def settings(df: DataFrame) -> dict[str, object]:
+    """Settings by key, each of its declared kind; a text that is not of it is an error."""
+    kinds = {"NUMBER": Decimal, "BOOLEAN": _boolean, "STRING": str}
+    rows = df.select("config_key", "config_value", "config_data_type").collect()
+    return {r["config_key"]: None if r["config_value"] is None else kinds[r["config_data_type"]](r["config_value"]) for r in rows}
+
+
+def _boolean(text: str) -> bool:
+    if text.strip().upper() not in ("TRUE", "FALSE"):
+        raise ValueError(f"{text!r} is neither TRUE nor FALSE")
+    return text.strip().upper() == "TRUE"
+
+
 # Quality dimensions.
 CATEGORIES = [
     (1, "Accuracy", "Data reflects the real-world situation it describes."),
