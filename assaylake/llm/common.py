@@ -40,6 +40,54 @@ def word_count(text: Column) -> Column:
     return F.when(trimmed == "", F.lit(0)).otherwise(F.size(F.split(trimmed, SPACE))).cast("long")
 
 
+# A side of at most so many rows of a few numbers is broadcast; beyond it the same join shuffles.
+BROADCAST_ROWS = 500_000
+# Copies of one row that are written out in one piece.
+COPIES_PER_PIECE = 10_000
+
+
+def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A written table with a broadcast hint if it is counted to have few rows."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
+def whole_rows(docs: DataFrame, *hashed: str) -> DataFrame:
+    """(row, id, hash, rest): each row as one struct, so that no column of it can clash with another side's."""
+    hash_ = F.xxhash64(*(hashed or ("text",)))
+    return docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), hash_.alias("hash"), others_hash(docs).alias("rest"))
+
+
+def matching(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """`whole_rows` joined to `keys`, whose first two columns are an id, which may be NULL, and a hash."""
+    id_, hash_ = keys.columns[:2]
+    named = keys.select(F.col(id_).alias("key_id"), F.col(hash_).alias("key_hash"), *keys.columns[2:])
+    return rows.join(named, F.col("id").eqNullSafe(F.col("key_id")) & (F.col("hash") == F.col("key_hash")), how)
+
+
+def fields(docs: DataFrame, text: Column | None = None) -> list[Column]:
+    """The columns of `docs` out of the struct `row`, with another text if given."""
+    return [text.alias(c) if c == "text" and text is not None else F.col("row").getField(c).alias(c) for c in docs.columns]
+
+
+def others_hash(docs: DataFrame) -> Column:
+    """A hash of all columns but id and text; rows with equal id, text and hash are taken as equal."""
+    kinds = dict(docs.dtypes)
+    plain = lambda c: F.to_json(F.struct(c)) if "map<" in kinds[c] or "variant" in kinds[c] else F.col(c)
+    rest = [F.col(f"`{c}`") if "." in c else plain(c) for c in sorted(docs.columns) if c not in ("doc_id", "text")]
+    return F.xxhash64(F.lit(0), *[x for c in rest for x in (c.isNull(), c)])
+
+
+def numbered_copies(counted: DataFrame, count: str, out: str) -> DataFrame:
+    """Each row `count` times, numbered from 0; a count of any size is spread over tasks."""
+    plain = [c for c in counted.columns if c != count]
+    size = F.lit(COPIES_PER_PIECE).cast("long")
+    once = counted.filter(F.col(count) == 1).select(*plain, F.lit(0).cast("long").alias(out))
+    pieces = counted.filter(F.col(count) > 1).withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(count) - 1) / size))))
+    last = F.least((F.col("piece") + 1) * size, F.col(count)) - 1
+    spread = pieces.repartition(*plain, "piece").select(*plain, F.explode(F.sequence(F.col("piece") * size, last)).alias(out))
+    return once.unionByName(spread)
+
+
 def running_sum(df: DataFrame, group: list[str], bucket: str, order: list[str], value: str, out: str) -> DataFrame:
     """Exclusive running sum of `value` per group, in the order (bucket, order).
 

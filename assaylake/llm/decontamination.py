@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assaylake.llm.common import LOWER, UPPER, text_of
+from assaylake.llm.common import LOWER, UPPER, fields, matching, small, text_of, whole_rows
 from assaylake.sources.scratch import written_table
 from assaylake.sources.tables import table
 
@@ -128,26 +128,30 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataF
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """`docs` without the contaminated ones, all columns kept."""
-    bad = report(docs, benchmark, window).filter("contaminated").select(
-        F.col("doc_id").alias("_id"), F.col("h").alias("_h")).distinct()
-    bad = written_table(bad)
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_h"))
-    return docs.join(bad, same, "left_anti")
+    """`docs` without the contaminated ones, all columns kept.
+
+    NULL and empty texts stay, as do NULL ids; rows that repeat an id and text stay or go together, all of
+    them. An empty benchmark takes nothing away, empty documents give an empty result.
+    """
+    bad = report(docs, benchmark, window).filter("contaminated").select("doc_id", "h").distinct()
+    return matching(whole_rows(docs), small(written_table(bad)), "left_anti").select(*fields(docs))
 
 
 def without_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """`docs` with the hit words removed from `text`, each with what separates it from the word before."""
+    """`docs` with the hit words removed from `text`, each with what separates it from the word before.
+
+    A text without a hit word, NULL and empty ones too, is as it was, and so are the other columns. Repeated
+    rows all come back, cut alike; an empty table gives an empty result.
+    """
     windows = written_table(benchmark_windows(benchmark, window).distinct())
-    spans = hits(docs, windows, window).filter(F.size("spans") > 0).select(
-        F.col("doc_id").alias("_id"), F.col("h").alias("_h"), F.col("spans").alias("_spans"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_h"))
-    joined = docs.join(written_table(spans), same, "left")
+    spans = hits(docs, windows, window).filter(F.size("spans") > 0).select("doc_id", "h", F.col("spans").alias("found"))
+    joined = matching(whole_rows(docs), written_table(spans), "left")
+    whole = F.col("row").getField("text")
     outside = "[^" + BETWEEN[1:-2] + "]+"
-    tokens = F.regexp_extract_all("text", F.lit(f"(?:{BETWEEN})?{outside}"), F.lit(0))
-    kept = F.filter(tokens, lambda _, i: ~F.exists("_spans", lambda s: (i >= s.place) & (i < s.place + s.n)))
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(F.array_join(kept, ""))
-    return joined.withColumn("text", text).select(*docs.columns)
+    tokens = F.regexp_extract_all(whole, F.lit(f"(?:{BETWEEN})?{outside}"), F.lit(0))
+    kept = F.filter(tokens, lambda _, i: ~F.exists("found", lambda s: (i >= s.place) & (i < s.place + s.n)))
+    text = F.when(F.col("found").isNull(), whole).otherwise(F.array_join(kept, ""))
+    return joined.select(*fields(docs, text))
 
 
 def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:

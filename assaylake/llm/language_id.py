@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from assaylake.llm.common import buffers, small_batches, steps, text_of
+from assaylake.llm.common import buffers, fields, matching, small, small_batches, steps, text_of, whole_rows
 from assaylake.llm.url_filters import url_parts
 from assaylake.sources.scratch import written_table
 from assaylake.sources.tables import table
@@ -188,7 +188,8 @@ def identify_pages(pages: DataFrame, model: np.ndarray, languages=LANGUAGES, lea
     """(page_id, declared, host, suffix, language, confidence, text_language, kept), one row per page.
 
     Declared is the primary part of the `lang` attribute of the html element, the suffix the host's last
-    label, the domain its last two. Missing parts, like NULL pages and URLs, are missing evidence.
+    label, the domain its last two. Missing parts, like NULL pages and URLs, are missing evidence. Repeated
+    rows are judged one by one; an empty table gives an empty result.
     """
     host = F.nullif(url_parts(F.col("url"))[0], F.lit(""))
     attribute = F.regexp_extract("html", r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]+)", 1)
@@ -201,11 +202,15 @@ def identify_pages(pages: DataFrame, model: np.ndarray, languages=LANGUAGES, lea
 
 
 def accepted(docs: DataFrame, languages=LANGUAGES, sample: int = SAMPLE) -> DataFrame:
-    """`docs` (doc_id, text, lang, source) without the rejected ones, all columns kept."""
+    """`docs` (doc_id, text, lang, source) without the rejected ones, all columns kept.
+
+    A text without letters goes, NULL and empty ones too. Rows that repeat an id, text, language and source
+    stay or go together; NULLs in these are values. An empty table gives an empty result. Of languages with
+    the same chance the one that is listed first counts.
+    """
     found = identify_documents(docs, fit(docs, languages, sample), languages)
-    bad = written_table(found.filter("not kept").select(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).distinct())
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text", "lang", "source") == F.col("_h"))
-    return docs.join(bad, same, "left_anti")
+    bad = written_table(found.filter("not kept").select("doc_id", "h").distinct())
+    return matching(whole_rows(docs, "text", "lang", "source"), small(bad), "left_anti").select(*fields(docs))
 
 
 def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:

@@ -9,6 +9,7 @@ meet in a join by (source, block). Everything follows from the seed and the rows
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,7 +17,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assaylake.llm.common import SPACE_BYTES, buckets_for, mix, running_sum, word_count, word_spans
+from assaylake.llm.common import (
+    SPACE_BYTES,
+    buckets_for,
+    fields,
+    matching,
+    mix,
+    numbered_copies,
+    others_hash,
+    running_sum,
+    small,
+    whole_rows,
+    word_count,
+    word_spans,
+)
 from assaylake.sources.scratch import written_table
 from assaylake.sources.tables import table
 
@@ -27,6 +41,8 @@ BLOCK_WORDS = 64
 SHARD_SLOTS = 1024
 SEED = 7
 SHARDS_PER_BUCKET = 4096
+SLOTS_PER_TASK = 200_000
+IDENTITY = ("doc_id", "h", "rest", "copy")  # a document of the mix: id, hashes of the text and of the other columns
 
 
 def targets(sizes: list[int], weights: list[float], total: float, repeats: float = REPEATS) -> list[float]:
@@ -66,10 +82,10 @@ def permuted(index: np.ndarray, size: np.ndarray, key: np.ndarray) -> np.ndarray
 
 @dataclass
 class Mixture:
-    documents: DataFrame  # doc_id, h, source, number, size, start (place in the source's stream)
+    documents: DataFrame  # doc_id, h, rest, copy, source, number, size, start (place in the source's stream)
     sources: DataFrame  # number, source, source_size, target
     slots: DataFrame  # shard, slot, number, pass, block
-    pieces: DataFrame  # number, block, doc_id, h, start, from_word, to_word
+    pieces: DataFrame  # number, block, doc_id, h, rest, copy, start, size, from_word, to_word
 
 
 def _drawn(spark, quota, shard_slots, seed):
@@ -130,11 +146,13 @@ def mixture(
 
     The table of sources is metadata and is held by the driver (their names and sizes, one row each);
     documents, blocks and slots are not. Documents without words are in no block. Repeated rows are
-    separate documents of the stream. An empty table, or one without words, gives a mix without slots.
+    separate documents of the stream: rows that differ in any column lie in the order of a hash, equal ones
+    are counted first and numbered. An empty table, or one without words, gives a mix without slots.
     """
     spark = docs.sparkSession
     sized = written_table(docs.select(
-        "doc_id", F.xxhash64("text").alias("h"), "source", word_count(F.col("text")).alias("size")))
+        "doc_id", F.xxhash64("text").alias("h"), others_hash(docs).alias("rest"), F.col("source").alias("source"),
+        word_count(F.col("text")).alias("size")))
     found = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows")).collect()
     found = sorted(found, key=lambda r: (r["source"] is None, r["source"] or ""))
     sizes = [r["size"] for r in found]
@@ -147,15 +165,19 @@ def mixture(
     listed = [(i, r["source"], r["size"], t) for i, (r, t) in enumerate(zip(found, wanted))]
     sources = spark.createDataFrame(listed, schema)
     nb = buckets_for(max((r["rows"] for r in found), default=0))
-    named = sized.join(F.broadcast(sources.select("number", F.col("source").alias("_source"))),
+    alike = sized.groupBy("doc_id", "h", "rest", "source", "size").agg(F.count(F.lit(1)).alias("n"))
+    every = numbered_copies(alike, "n", "copy")
+    named = every.join(F.broadcast(sources.select("number", F.col("source").alias("_source"))),
                        F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    named = named.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "h"), F.lit(nb)))
-    documents = running_sum(named, ["number"], "bucket", ["doc_id", "h"], "size", "start").drop("bucket")
+    # Copies of one row share a bucket by the thousand only.
+    named = named.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "h", "rest", F.expr("copy div 1000")), F.lit(nb)))
+    documents = written_table(
+        running_sum(named, ["number"], "bucket", ["doc_id", "h", "rest", "copy"], "size", "start").drop("bucket"))
 
     first, last = F.expr(f"start div {block_words}"), F.expr(f"(start + size - 1) div {block_words}")
     low, high = F.col("block") * block_words - F.col("start"), (F.col("block") + 1) * block_words - F.col("start")
     pieces = documents.filter("size > 0").withColumn("block", F.explode(F.sequence(first, last))).select(
-        "number", "block", "doc_id", "h", "start", "size", F.greatest(low, F.lit(0)).alias("from_word"),
+        "number", "block", *IDENTITY, "start", "size", F.greatest(low, F.lit(0)).alias("from_word"),
         F.least(high, F.col("size")).alias("to_word"))
 
     counts = written_table(_drawn(spark, quota, shard_slots, seed))
@@ -164,7 +186,9 @@ def mixture(
         drawn[r["number"]] = r["n"]
     counts = counts.withColumn("bucket", F.expr(f"shard div {SHARDS_PER_BUCKET}"))
     placed = running_sum(counts, ["number"], "bucket", ["shard"], "count", "first")
-    slots = placed.select("shard", "number", "count", "slot", "first").mapInArrow(
+    # Counts are few, what they unroll to is not: they are dealt out by the number of slots.
+    dealt = placed.repartition(max(1, math.ceil(int(quota.sum()) / SLOTS_PER_TASK)), "shard", "number")
+    slots = dealt.select("shard", "number", "count", "slot", "first").mapInArrow(
         _slots_of(_mapped(quota, drawn, blocks, seed)), "shard long, slot long, number long, pass long, block long")
     return Mixture(documents, sources, slots, pieces)
 
@@ -178,21 +202,19 @@ def _slots_of(apply):
     return run
 
 
+def taken_blocks(mix_: Mixture) -> DataFrame:
+    """(number, block, passes): the passes in which a block is taken, as a written table, whose size Spark knows."""
+    return written_table(mix_.slots.groupBy("number", "block").agg(F.sort_array(F.collect_list("pass")).alias("passes")))
+
+
 def mixed_words(mix_: Mixture) -> DataFrame:
     """(doc_id, size, source_size, target, taken) per document: `taken` counts words in all passes."""
-    times = mix_.slots.groupBy("number", "block").agg(F.count(F.lit(1)).alias("times"))
-    used = mix_.pieces.join(times, ["number", "block"])
-    taken = used.groupBy("number", "start", "doc_id", "h", "size").agg(
-        F.sum(F.col("times") * (F.col("to_word") - F.col("from_word"))).alias("taken"))
-    known = ["number", "start", "doc_id", "h", "size"]
+    used = mix_.pieces.join(taken_blocks(mix_), ["number", "block"])
+    known = ["number", *IDENTITY, "size"]
+    taken = used.select(*known, (F.size("passes") * (F.col("to_word") - F.col("from_word"))).alias("taken"))
     rest = mix_.documents.select(*known, F.lit(0).cast("long").alias("taken"))
-    every = taken.select(*known, "taken").unionByName(rest)
-    # The rest has every document once and the joined part those with taken words; empty documents
-    # share a place in the stream with their neighbour, so rows are counted, not merged.
-    summed = every.groupBy(*known).agg(F.sum("taken").alias("taken"), F.count(F.lit(1)).alias("n"))
-    copies = F.when(F.col("size") == 0, F.col("n")).otherwise(F.lit(1))
-    spread = summed.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), copies.cast("long"))))
-    return spread.join(F.broadcast(mix_.sources), "number").select("doc_id", "size", "source_size", "target", "taken")
+    summed = taken.unionByName(rest).groupBy(*known).agg(F.sum("taken").alias("taken"))
+    return summed.join(F.broadcast(mix_.sources), "number").select("doc_id", "size", "source_size", "target", "taken")
 
 
 def _cut(text: Column, first: Column, last: Column) -> Column:
@@ -219,24 +241,31 @@ def mixed_documents(docs: DataFrame, mix_: Mixture) -> DataFrame:
     """The mix as documents: the columns of `docs`, one row per document and pass that took words of it.
 
     `text` holds the words taken in that pass with their white space; a document taken whole is
-    unchanged. `n_chars`, if there, is set to the new length.
+    unchanged. `n_chars`, if there, is set to the new length. Rows that repeat an id and text keep their own
+    other columns. Documents without words (NULL, empty) are in no row; without slots the result is empty.
     """
-    used = mix_.pieces.join(mix_.slots.select("number", "block", "pass"), ["number", "block"])
-    spans = used.groupBy("number", "start", "doc_id", "h", "size", "pass").agg(
+    used = mix_.pieces.join(taken_blocks(mix_), ["number", "block"]).withColumn("pass", F.explode("passes"))
+    spans = used.groupBy("number", *IDENTITY, "size", "pass").agg(
         F.sort_array(F.collect_list(F.struct("from_word", "to_word"))).alias("spans"))
-    named = spans.join(F.broadcast(mix_.sources.select("number", "source")), "number").select(
-        F.col("doc_id").alias("_id"), F.col("h").alias("_h"), F.col("source").alias("_source"),
-        F.col("size").alias("_size"), F.col("spans").alias("_spans"))
-    texts = docs.withColumn("_row", F.xxhash64("text")).dropDuplicates(["doc_id", "_row", "source"])
-    joined = texts.join(named, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_h"))
-                        & F.col("source").eqNullSafe(F.col("_source")))
-    covered = F.aggregate("_spans", F.lit(0).cast("long"), lambda a, s: a + s.to_word - s.from_word)
-    part = lambda name: F.when(covered < F.col("_size"), F.transform("_spans", lambda s: s[name]))
-    text = F.coalesce(_cut(F.col("text"), part("from_word"), part("to_word")), F.col("text"))
-    changed = joined.withColumn("text", text)
+    named = spans.select("doc_id", "h", F.col("rest").alias("own"), "size", "spans")
+    # Equal rows are one row here, which meets the spans of all of them. Texts move once, in the join.
+    again = written_table(mix_.documents.filter("copy > 0").select("doc_id", "h", F.col("rest").alias("own")).distinct())
+    rows = whole_rows(docs)
+    if not again.isEmpty():
+        again, own = small(again), F.col("rest") == F.col("own")
+        id_, hash_ = F.col("id").eqNullSafe(F.col("doc_id")), F.col("hash") == F.col("h")
+        once = rows.join(again, id_ & hash_ & own, "left_anti")
+        rows = once.unionByName(rows.join(again, id_ & hash_ & own, "left_semi").dropDuplicates(["id", "hash", "rest"]))
+    joined = matching(rows, named, "inner").filter(F.col("rest") == F.col("own"))
+    covered = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s.to_word - s.from_word)
+    part = lambda name: F.when(covered < F.col("size"), F.transform("spans", lambda s: s[name]))
+    whole = F.col("row").getField("text")
+    cut = joined.withColumn("cut", F.coalesce(_cut(whole, part("from_word"), part("to_word")), whole))
+    columns = fields(docs, F.col("cut"))
     if "n_chars" in docs.columns:
-        changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return changed.select(*docs.columns)
+        at = docs.columns.index("n_chars")
+        columns[at] = F.length("cut").cast(docs.schema["n_chars"].dataType).alias("n_chars")
+    return cut.select(*columns)
 
 
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:

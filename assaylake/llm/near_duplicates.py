@@ -18,7 +18,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assaylake.llm.common import buffers, gram_names, mix, odd_multipliers, small_batches, steps, word_names, word_spans
+from assaylake.llm.common import (
+    buffers,
+    fields,
+    gram_names,
+    matching,
+    mix,
+    odd_multipliers,
+    small,
+    small_batches,
+    steps,
+    whole_rows,
+    word_names,
+    word_spans,
+)
 from assaylake.sources.scratch import written_table
 from assaylake.sources.tables import table
 
@@ -29,7 +42,6 @@ DEPTH = 3
 MINIMA = RUNS * DEPTH
 BLOCK = 256  # rows that are compared by brute force
 LEAST_EQUAL = 24  # of the 48 sketch bytes; a pair at the threshold has fewer with a chance below 1e-6
-BROADCAST_ROWS = 500_000
 RANGE_NAMES = 200_000  # shingles that are put into columns at a time
 NO_KEY = 0
 
@@ -69,11 +81,11 @@ def _each(texts: pa.Array):
 
 
 def features(text: Column) -> Column:
-    """Struct of n (shingles), rid and check (names of the set) and minima (32-bit minima, packed)."""
+    """Struct of n (shingles), rid and check (names of the set), minima (32 bits each, packed) and their low bytes."""
 
-    @F.arrow_udf("n int, rid long, check long, minima binary")
+    @F.arrow_udf("n int, rid long, check long, minima binary, sketch binary")
     def apply(texts: pa.Array) -> pa.Array:
-        n, rid, check, minima = [], [], [], []
+        n, rid, check, minima, sketch = [], [], [], [], []
         for grams, first in _each(texts):
             counts = np.diff(first)
             filled = np.flatnonzero(counts)
@@ -89,10 +101,11 @@ def features(text: Column) -> Column:
             rid.append(mix(one + counts.astype(np.uint64)).view(np.int64))
             check.append(mix(two).view(np.int64))
             minima += [row.tobytes() for row in lows]
+            sketch += [row.tobytes() for row in (lows & np.uint32(255)).astype(np.uint8)]
         join = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
         return pa.StructArray.from_arrays(
             [pa.array(join(n).astype(np.int32)), pa.array(join(rid).astype(np.int64)), pa.array(join(check).astype(np.int64)),
-             pa.array(minima, pa.binary())], ["n", "rid", "check", "minima"])
+             pa.array(minima, pa.binary()), pa.array(sketch, pa.binary())], ["n", "rid", "check", "minima", "sketch"])
 
     return apply(text)
 
@@ -107,53 +120,45 @@ def packed_sets(text: Column) -> Column:
 
 
 def _paths(reps: DataFrame) -> DataFrame:
-    """(rid, n, m, run, k1, k2, k3, sketch): the buckets on each run's path, one per depth."""
+    """(rid, run, k1, k2, k3): the buckets on each run's path, one per depth. Each run has minima of its own."""
 
     def walk(batches):
         for batch in batches:
             n = batch.num_rows
             if not n:
                 continue
-            lows = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint32).reshape(n, MINIMA).astype(np.uint64)
-            sketch = [row.tobytes() for row in (lows & np.uint64(255)).astype(np.uint8)]
-            keys, rows = [], np.arange(n)
+            lows = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(n, MINIMA).astype(np.uint64)
+            keys = []
             for run in range(RUNS):
                 key = mix(lows[:, run] + np.uint64((run + 1) << 40))
                 path = [key]
                 for depth in range(1, DEPTH):
-                    chosen = depth * RUNS + (key % np.uint64(RUNS)).astype(np.int64)
-                    key = mix(key ^ mix(lows[rows, chosen] + np.uint64(depth << 36)))
+                    key = mix(key ^ mix(lows[:, depth * RUNS + run] + np.uint64(depth << 36)))
                     path.append(key)
                 keys.append(np.stack(path))
             paths = np.stack(keys, axis=1).reshape(DEPTH, -1).view(np.int64)  # run-major
-            repeat = lambda i: pa.concat_arrays([batch.column(i)] * RUNS)
             yield pa.RecordBatch.from_arrays(
-                [repeat(0), repeat(1), repeat(2), pa.array(np.repeat(np.arange(RUNS), n).astype(np.int32)),
-                 *[pa.array(p) for p in paths], pa.array(sketch * RUNS, pa.binary())],
-                ["rid", "n", "m", "run", "k1", "k2", "k3", "sketch"])
+                [pa.concat_arrays([batch.column(0)] * RUNS), pa.array(np.repeat(np.arange(RUNS), n).astype(np.int32)),
+                 *[pa.array(p) for p in paths]], ["rid", "run", "k1", "k2", "k3"])
 
-    schema = "rid long, n int, m long, run int, k1 long, k2 long, k3 long, sketch binary"
-    return reps.select("rid", "n", "m", "minima").mapInArrow(walk, schema)
+    return reps.select("rid", "minima").mapInArrow(walk, "rid long, run int, k1 long, k2 long, k3 long")
 
 
 def _counted(rows: DataFrame, key: str) -> DataFrame:
-    """`rows` of the buckets with more than one row, with the bucket's size."""
+    """`rows` of the buckets with more than one row, with the bucket's size, as a written table."""
     sizes = rows.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    return rows.join(written_table(sizes), F.col(key) == F.col("_key")).drop("_key")
+    return written_table(rows.join(small(written_table(sizes)), F.col(key) == F.col("_key")).drop("_key"))
 
 
 def leaves(reps: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(rid, n, m, sketch, leaf, blocks, run): each representative's last bucket in each run."""
-    shown = ["rid", "n", "m", "run", "sketch"]
+    """(rid, run, leaf, blocks): each representative's last bucket in each run in which it is not alone."""
     rows, parts = _paths(reps), []
     for depth in range(1, DEPTH + 1):
         counted = _counted(rows, f"k{depth}")
-        small = F.col("size") <= block if depth < DEPTH else F.lit(True)
+        few = F.col("size") <= block if depth < DEPTH else F.lit(True)
         blocks = F.ceil(F.col("size") / block).cast("int")
-        parts.append(counted.filter(small).select(*shown, F.col(f"k{depth}").alias("leaf"), blocks.alias("blocks")))
-        if depth < DEPTH:
-            # Few rows usually go deeper; written, so that they are not walked again for each depth.
-            rows = written_table(counted.filter(~small).drop("size"))
+        parts.append(counted.filter(few).select("rid", "run", F.col(f"k{depth}").alias("leaf"), blocks.alias("blocks")))
+        rows = counted.filter(~few).drop("size")  # few rows usually go deeper
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
@@ -327,24 +332,22 @@ def classes(docs: DataFrame) -> DataFrame:
     full = found.filter("n > 0")
     reps = written_table(full.groupBy("rid", "check").agg(
         F.count(F.lit(1)).alias("m"), F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("minima").alias("minima"),
-        F.min(F.struct("doc_id", "h")).alias("one")))
+        F.first("sketch").alias("sketch"), F.min(F.struct("doc_id", "h")).alias("one")))
 
     own = leaves(reps)
     at_run = lambda k: F.coalesce(F.max(F.when(F.col("run") == k, F.col("leaf"))), F.lit(NO_KEY))
     by_rid = own.groupBy("rid").agg(
-        F.first("n").alias("n"), F.first("m").alias("m"), F.first("sketch").alias("sketch"),
-        F.array(*[at_run(k) for k in range(RUNS)]).alias("leaves"),
-        F.collect_list(F.struct("leaf", "blocks")).alias("meets"))
+        F.array(*[at_run(k) for k in range(RUNS)]).alias("leaves"), F.collect_list(F.struct("leaf", "blocks")).alias("meets"))
+    by_rid = by_rid.join(reps.select("rid", "n", "m", "sketch"), "rid")
     spread = by_rid.select("rid", "n", "m", "sketch", "leaves", F.explode("meets").alias("x")).select(
         "rid", "n", "m", "sketch", "leaves", "x.leaf", "x.blocks")
     flagged = written_table(_flagged(_grouped(spread)))
 
     rids = flagged.select("rid").distinct()
-    few = flagged.count() <= BROADCAST_ROWS
     wanted = reps.join(rids, "rid").select("rid", F.col("one.doc_id").alias("_id"), F.col("one.h").alias("_h"))
-    wanted = written_table(wanted.dropDuplicates(["_id", "_h"]))
+    wanted = small(written_table(wanted.dropDuplicates(["_id", "_h"])))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_h"))
-    texts = docs.select("doc_id", "text").join(F.broadcast(wanted) if few else wanted, same)
+    texts = docs.select("doc_id", "text").join(wanted, same)
     sets = texts.select("rid", packed_sets(F.col("text")).alias("set")).dropDuplicates(["rid"])
     joined = flagged.join(sets, "rid").repartition("leaf", "a", "b").sortWithinPartitions("leaf", "a", "b", "rid")
     links = written_table(_verified(joined))
@@ -371,24 +374,26 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     Of rows that repeat an id and text one stays. Rows without an id stay, once for each text, if their
     class has no id at all.
     """
-    found = classes(docs)
-    ranked = found.select("doc_id", "h", "class_id", "label")
+    ranked = written_table(classes(docs).select("doc_id", "h", "class_id", "label"))
     # Different texts may share the id that names their class, or be classes that one id names.
     keepers = ranked.filter("doc_id is not null and doc_id = class_id").groupBy("label").agg(
         F.min(F.struct("class_id", "h")).alias("one")).select("one.class_id", "one.h")
     nameless = ranked.filter("doc_id is null and class_id is null").select("class_id", "h").distinct()
     keep = keepers.unionByName(nameless).select(F.col("class_id").alias("_id"), F.col("h").alias("_h"))
-    times = docs.groupBy("doc_id", F.xxhash64("text").alias("h")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    times = written_table(times.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h")))
-    lost = ranked.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).distinct()
-    on = lambda a, b: a["_id"].eqNullSafe(b["_id"]) & (a["_h"] == b["_h"])
-    lost = lost.join(keep, on(lost, keep), "left_anti")
-    lost = written_table(lost)
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_h"))
-    left = docs.join(lost, same, "left_anti")
-    single = left.join(times, same, "left_anti")
-    repeated = left.join(times, same, "left_semi").withColumn("_h", F.xxhash64("text")).dropDuplicates(["doc_id", "_h"]).drop("_h")
-    return single.unionByName(repeated)
+    times = ranked.groupBy(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).agg(F.count(F.lit(1)).alias("n"))
+    on = times["_id"].eqNullSafe(keep["_id"]) & (times["_h"] == keep["_h"])
+    lost = written_table(times.join(keep, on, "left_anti").select("_id", "_h"))
+    left = matching(whole_rows(docs), small(lost), "left_anti")
+    repeats = written_table(times.filter("n > 1").select("_id", "_h"))
+    if repeats.isEmpty():
+        return left.select(*fields(docs))
+    repeats = small(repeats)
+    single = matching(left, repeats, "left_anti").select("row")
+    # Of rows that repeat an id and text the one whose other columns have the smallest hash.
+    again = matching(left, repeats, "left_semi")
+    first = written_table(again.groupBy("id", "hash").agg(F.min("rest").alias("first")))
+    again = matching(again, small(first), "inner").filter(F.col("rest") == F.col("first")).dropDuplicates(["id", "hash"])
+    return single.unionByName(again.select("row")).select(*fields(docs))
 
 
 def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from assaylake.llm.common import text_of
+from assaylake.llm.common import fields, matching, text_of, whole_rows
 from assaylake.sources.scratch import written_table
 from assaylake.sources.tables import table
 
@@ -202,23 +202,23 @@ def report(docs: DataFrame, **limits) -> DataFrame:
 def sanitised(docs: DataFrame, **limits) -> DataFrame:
     """`docs` with base spans generalised to their kind in brackets and disclosing terms removed.
 
-    Of overlapping spans the one that starts first is taken, then the kind listed first.
+    Of overlapping spans the one that starts first is taken, then the kind listed first. A text without a
+    span, NULL and empty ones too, is as it was, and so are the other columns. Repeated rows all come back,
+    treated alike; an empty table gives an empty result.
     """
-    found = written_table(find_spans(docs, **limits)).select(
-        F.col("doc_id").alias("_id"), F.col("h").alias("_h"), F.col("spans").alias("_spans"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_h"))
+    found = written_table(find_spans(docs, **limits)).select("doc_id", "h", F.col("spans").alias("found"))
     marks = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS], F.lit(""))
     zero = F.struct(F.lit(0).cast("long").alias("end"), F.array().cast("array<string>").alias("parts"))
+    whole = F.col("row").getField("text")
 
     def add(state, span):
-        gap = F.substr("text", (state.end + 1).cast("int"), (span.start - state.end).cast("int"))
+        gap = F.substr(whole, (state.end + 1).cast("int"), (span.start - state.end).cast("int"))
         more = F.struct(span.end.alias("end"), F.concat(state.parts, F.array(gap, F.get(marks, span.kind))).alias("parts"))
         return F.when(span.start >= state.end, more).otherwise(state)
 
-    state = F.aggregate("_spans", zero, add)
-    joined = docs.join(found, same, "left").withColumn("_state", state)
-    text = F.concat(F.array_join("_state.parts", ""), F.substr("text", (F.col("_state.end") + 1).cast("int")))
-    return joined.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(text)).select(*docs.columns)
+    joined = matching(whole_rows(docs), found, "left").withColumn("state", F.aggregate("found", zero, add))
+    text = F.concat(F.array_join("state.parts", ""), F.substr(whole, (F.col("state.end") + 1).cast("int")))
+    return joined.select(*fields(docs, F.when(F.col("found").isNull(), whole).otherwise(text)))
 
 
 def op8_pii(spark: SparkSession, folder: str) -> DataFrame:

@@ -7,7 +7,14 @@ import re
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 # Extra columns whose names the operators might use inside.
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, h string, bucket string, size int, n int, chunk string"
+CLASHING = {
+    "h": "h", "bucket": "b", "size": 1, "n": 2, "chunk": "c", "_id": -7, "_h": -8, "_row": "r", "_spans": "s", "_state": "t",
+    "place": 3, "label": 4, "row": "w", "id": 5, "hash": 6, "rest": 7, "copy": 8, "spans": "x", "found": "y", "own": 9,
+    "uid": 10, "tie": 11, "key": "k", "score": 1.5,
+}
+_KINDS = {str: "string", int: "int", float: "double"}
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(
+    f"{name} {_KINDS[type(value)]}" for name, value in CLASHING.items())
 SPACES = " \t\n\x0b\f\r"
 
 PASSAGE = " ".join(f"passage{i}" for i in range(60))
@@ -29,7 +36,11 @@ def awkward():
         (13, OTHER.upper(), "de", "a"), (14, PASSAGE.replace("passage30", "changed"), "en", "b"),
         (-3, "tabs\tand\x0bbreaks\fhere\r\nnow " + OTHER, "de", "z"), (15, "e\u0301 nfc caf\u00e9 'S It's 12 3.5 <|endoftext|> x", "fr", "z"),
     ]
-    return [(i, t, lang, source, len(t or ""), "h", "b", 1, 2, "c") for i, t, lang, source in texts]
+    return [full(i, t, lang, source, len(t or "")) for i, t, lang, source in texts]
+
+
+def full(i, text, lang, source, n_chars):
+    return (i, text, lang, source, n_chars, *CLASHING.values())
 
 
 def frame(spark, rows=None):

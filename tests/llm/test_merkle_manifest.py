@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from assaylake.llm import merkle_manifest as merkle
-from tests.llm.cases import FOLDER, frame, given
+from tests.llm.cases import frame, full, given, FOLDER
 from tests.oracle import connect, difference
 
 
@@ -58,7 +58,7 @@ def plain(rows):
 
 def cases(spark):
     nulls = [(None, None, None, None, None), (1, "", "", "", 0), (1, None, "", "", 0), (2, "x", "é", "s", -5), (3, "x", "z", "s", 2**63 - 1)]
-    rows = [(i, t, lang, s, n, "h", "b", 1, 2, "c") for i, t, lang, s, n in nulls]
+    rows = [full(i, t, lang, s, n) for i, t, lang, s, n in nulls]
     yield frame(spark)
     yield frame(spark, rows + rows[:2])
     yield frame(spark, rows[:1])

@@ -5,7 +5,7 @@ import pytest
 
 from assaylake.llm import near_duplicates
 from assaylake.llm.near_duplicates import classes, components, one_of_each
-from tests.llm.cases import SCHEMA, tables, words
+from tests.llm.cases import full, tables, words, SCHEMA
 
 
 def shingles(text):
@@ -55,8 +55,8 @@ def test_against_brute_force(spark):
 def test_large_groups_are_compared_whole(spark, monkeypatch, block):
     monkeypatch.setattr(near_duplicates, "leaves", lambda reps, f=near_duplicates.leaves: f(reps, block))
     base = " ".join(f"word{i * 31 % 173}" for i in range(150))
-    rows = [(i, edited(base, 2 + i % 3, i), None, "s", 0, "h", "b", 1, 2, "c") for i in range(150)]
-    rows += [(1000 + i, base, None, "s", 0, "h", "b", 1, 2, "c") for i in range(40)]
+    rows = [full(i, edited(base, 2 + i % 3, i), None, "s", 0) for i in range(150)]
+    rows += [full(1000 + i, base, None, "s", 0) for i in range(40)]
     df = spark.createDataFrame(rows, SCHEMA)
     got = Counter((r.doc_id, r.class_id, r.n_links) for r in classes(df).collect())
     assert got == Counter(plain(rows))
@@ -67,8 +67,8 @@ def test_large_groups_are_compared_whole(spark, monkeypatch, block):
 def test_unlinked_texts_that_share_an_id_all_stay(spark):
     base = " ".join(f"word{i}" for i in range(60))
     texts = [" ".join(f"own{k}x{i}" for i in range(30)) for k in range(5)]
-    rows = [(7, t, None, "s", 0, "h", "b", 1, 2, "c") for t in (*texts, base, "", " ")]
-    rows += [(8, base + " more", None, "s", 0, "h", "b", 1, 2, "c"), (8, texts[0], None, "s", 0, "h", "b", 1, 2, "c")]
+    rows = [full(7, t, None, "s", 0) for t in (*texts, base, "", " ")]
+    rows += [full(8, base + " more", None, "s", 0), full(8, texts[0], None, "s", 0)]
     df = spark.createDataFrame(rows, SCHEMA)
     found = classes(df).collect()
     assert {r.class_id for r in found} == {7} and len({r.label for r in found}) == len(texts) + 3

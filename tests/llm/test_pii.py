@@ -3,7 +3,7 @@ import re
 from collections import Counter
 
 from assaylake.llm.pii import disclosing_terms, report, sanitised
-from tests.llm.cases import SCHEMA, tables
+from tests.llm.cases import full, tables, SCHEMA
 
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
@@ -61,7 +61,7 @@ def test_terms_that_give_an_entity_away(spark):
     rows = [(i, f"{w} met Klarafied yesterday, ask kim@corp.io today {w}") for i, w in enumerate("uno due tre quattro".split())]
     rows += [(10, "KLARAFIED was here"), (11, "nothing here today yesterday"), (12, "met today"), (13, None), (14, "klarafieds stay")]
     rows += [(i, f"more filler text {i} met today yesterday") for i in range(20, 60)]
-    df = spark.createDataFrame([(i, t, None, None, 0, "h", "b", 1, 2, "c") for i, t in rows], SCHEMA)
+    df = spark.createDataFrame([full(i, t, None, None, 0) for i, t in rows], SCHEMA)
     assert {r.term for r in disclosing_terms(df).collect()} == {"klarafied"}
     got = {r.doc_id: r.spans for r in report(df).collect()}
     assert got[10] == "term:0:9" and got[11] == "" and got[14] == "" and got[0].startswith("term:8:17,email:")
