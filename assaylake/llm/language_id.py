@@ -24,6 +24,7 @@ from assaylake.sources.tables import table
 LANGUAGES = ("de", "en", "es", "fr")
 UNKNOWN = "und"
 SAMPLE = 400  # labelled documents per language for the text model
+FIT_TASKS = 8  # tasks that count the sample's trigrams
 CELLS = 1 << 14  # hashed trigrams
 TEXT_WEIGHT = 60  # trigrams' worth of evidence that a text has at most: neighbours are not independent
 SMOOTHING = 20.0  # rows' worth of the wider level's distribution
@@ -83,7 +84,8 @@ def fit(labelled: DataFrame, languages=LANGUAGES, sample: int = SAMPLE) -> np.nd
             [pa.array(range(len(languages))), pa.array([t.tobytes() for t in total])], ["i", "counts"])
 
     counts = np.full((len(languages), CELLS), 0.5)
-    for row in rows.mapInArrow(count, "i long, counts binary").collect():  # a fixed size for each task of the sample
+    # Each task of the sample sends counts of a fixed size, so there are only a few of them.
+    for row in rows.coalesce(FIT_TASKS).mapInArrow(count, "i long, counts binary").collect():
         counts[row["i"]] += np.frombuffer(row["counts"], np.int64)
     return np.log(counts / counts.sum(axis=1, keepdims=True)).T.astype(np.float32)
 

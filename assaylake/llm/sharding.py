@@ -12,7 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assaylake.llm.common import buckets_for, running_sum, text_of
+from assaylake.llm.common import buckets_for, numbered_copies, running_sum, text_of
+from assaylake.sources.scratch import written_table
 from assaylake.sources.tables import table
 
 SHARDS = 40
@@ -53,18 +54,21 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 
     The size is the text's UTF-8 bytes and 16; a NULL text has none of the former. Rows that repeat
     an id share its shard and get slots of their own, as do rows with a NULL id. Other columns are
-    ignored; an empty table gives an empty result.
+    ignored; an empty table gives an empty result. Rows with equal results are counted before they are
+    dealt to buckets, so that copies of one row, or rows of one id, are in no bucket together.
     """
     text = text_of(F.col("text"))
-    rows = docs.select(
+    rows = written_table(docs.select(
         "doc_id", (F.octet_length(text) + OVERHEAD).cast("long").alias("size"),
-        F.crc32(text.cast("binary")).alias("text_crc32"), F.lit("key").alias("law"),
-        shard_of(F.col("doc_id"), shards).alias("shard"), shard_of(F.col("doc_id"), shards + 1).alias("grown_shard"),
-        F.pmod(F.xxhash64("doc_id"), F.lit(buckets_for(docs.count() // shards))).alias("bucket"),
-        F.lit(1).alias("one"),
-    )
-    placed = running_sum(rows, ["shard"], "bucket", ["doc_id", "text_crc32", "size"], "one", "slot")
-    return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+        F.crc32(text.cast("binary")).alias("text_crc32")))
+    alike = rows.groupBy("doc_id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("n")).select(
+        "*", shard_of(F.col("doc_id"), shards).alias("shard"), shard_of(F.col("doc_id"), shards + 1).alias("grown_shard"))
+    # The hottest id decides how many buckets its shard needs.
+    most = alike.groupBy("shard").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0] or 0
+    bucket = F.pmod(F.xxhash64("doc_id", "size", "text_crc32", F.expr("copy div 1000")), F.lit(buckets_for(most)))
+    every = numbered_copies(alike, "n", "copy").withColumns({"bucket": bucket, "one": F.lit(1)})
+    placed = running_sum(every, ["shard"], "bucket", ["doc_id", "text_crc32", "size", "copy"], "one", "slot")
+    return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
 def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
