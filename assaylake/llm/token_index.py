@@ -210,9 +210,10 @@ def write_shards(
 
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-size // RANGE_BYTES))
-    rows = docs.select("doc_id", text_of(F.col("text")).alias("text"))
-    ordered = rows.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(
-        F.col("doc_id").asc_nulls_first(), "text")
+    # Rows of one id, or without any, may fill more than a range: their place in the input divides them.
+    rows = docs.select("doc_id", text_of(F.col("text")).alias("text"), F.monotonically_increasing_id().alias("tie"))
+    ordered = rows.repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), "tie").sortWithinPartitions(
+        F.col("doc_id").asc_nulls_first(), "text").drop("tie")
 
     def encode_part(batches):
         from pyspark import TaskContext

@@ -1,6 +1,7 @@
 from collections import Counter, defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from assaylake.llm.mixing import mixed_documents, mixed_words, mixture, permuted, targets
 from tests.llm.cases import tables, words
@@ -44,3 +45,22 @@ def test_against_brute_force(spark):
         mixed = mixed_documents(df, plan)
         assert mixed.columns == df.columns
         assert sum(len(words(r.text)) for r in mixed.select("text").collect()) == sum(r.taken for r in got), name
+
+
+def test_mixed_documents_word_for_word(spark):
+    for name, df, _ in tables(spark):
+        if name == "given":
+            continue
+        plan = mixture(df, block_words=16, shard_slots=8)
+        taken = defaultdict(set)
+        for r in plan.slots.collect():
+            taken[r.number, r.block].add(r["pass"])
+        texts = {(r.doc_id, r.h): words(r.text) for r in df.select("doc_id", "text", F.xxhash64("text").alias("h")).collect()}
+        parts = defaultdict(list)
+        for r in plan.pieces.collect():
+            for turn in taken.get((r.number, r.block), ()):
+                parts[r.doc_id, r.h, r.rest, r.copy, turn].append((r.from_word, r.to_word))
+        expected = Counter(
+            (i, tuple(w for a, b in sorted(spans) for w in texts[i, h][a:b])) for (i, h, *_), spans in parts.items())
+        got = Counter((r.doc_id, tuple(words(r.text))) for r in mixed_documents(df, plan).select("doc_id", "text").collect())
+        assert got == expected, name

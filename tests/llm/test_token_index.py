@@ -5,6 +5,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from assaylake.llm import token_index
 from assaylake.llm.token_index import build_index, described, encode, fetch, read_shards, write_shards
 from assaylake.sources.scratch import checkpoint_dir
 from tests.llm.cases import tables
@@ -48,3 +49,20 @@ def test_index_is_minimal_and_perfect():
         keys = np.random.default_rng(n).choice(10**6, n, replace=False) - 500_000
         _, _, slots = build_index(keys)
         assert sorted(slots.tolist()) == list(range(n))
+
+
+def test_one_id_on_a_third_of_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(token_index, "RANGE_BYTES", 2_000)
+    texts = [f"some text number {i} of many" for i in range(900)]
+    rows = [(None if i < 300 else 7 if i < 600 else i, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    path = f"{checkpoint_dir(spark)}/shards-{uuid.uuid4().hex}"
+    write_shards(df, path)
+    shards = read_shards(spark, path)
+    assert max(r.n_docs for r in shards.select("n_docs").collect()) < 250
+    got = sorted(map(tuple, described(shards).collect()), key=lambda r: r[1])
+    assert [r[0] for r in got] == sorted((i for i, _ in rows), key=lambda i: (i is not None, i or 0))
+    assert sorted((r[0] or -1, r[2], r[3]) for r in got) == sorted(
+        (i or -1, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())) for i, ids in ((i, plain(t)) for i, t in rows))
+    ends = [0, *np.cumsum([r[2] for r in got]).tolist()]
+    assert [r[1] for r in got] == ends[:-1]
