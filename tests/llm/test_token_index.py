@@ -6,7 +6,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 from assaylake.llm import token_index
-from assaylake.llm.token_index import build_index, described, encode, fetch, read_shards, write_shards
+from assaylake.llm.token_index import Store, build_index, described, encode, fetch, read_shards, write_shards
 from assaylake.sources.scratch import checkpoint_dir
 from tests.llm.cases import tables
 
@@ -32,8 +32,13 @@ def test_files_against_the_library(spark):
             ids = plain(t)
             expected.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
             start += len(ids)
-        got = [tuple(r) for r in described(shards).collect()]
+        got = [tuple(r) for r in described(shards, df).collect()]
         assert sorted(got, key=lambda r: r[1]) == expected, name
+        # The shards' own keys are not read by: without them the rest is the same.
+        bare = Store(shards.shards.drop("keys", "n_null"), shards.index)
+        some = spark.createDataFrame([(r[0],) for r in rows[:30]] + [(10**9,), (None,)], "doc_id long")
+        asked = {r[0] for r in rows[:30]} | {None}
+        assert sorted(map(tuple, described(bare, some).collect()), key=lambda r: r[1]) == [r for r in expected if r[0] in asked]
         ids = sorted({r[0] for r in rows if r[0] is not None})[:40]
         wanted = spark.createDataFrame([(i,) for i in [*ids, 10**9, None]], "doc_id long")
         found = {}
@@ -49,6 +54,27 @@ def test_index_is_minimal_and_perfect():
         keys = np.random.default_rng(n).choice(10**6, n, replace=False) - 500_000
         _, _, slots = build_index(keys)
         assert sorted(slots.tolist()) == list(range(n))
+    turns = np.arange(3000)
+    _, _, slots = build_index(np.zeros(3000, np.int64), turns)
+    assert sorted(slots.tolist()) == turns.tolist()
+
+
+def test_index_parts(spark, monkeypatch):
+    """Many index parts, ids that reach over shards, and more keys asked for than a part holds."""
+    monkeypatch.setattr(token_index, "INDEX_KEYS", 50)
+    rows = [(5 if i % 3 == 0 else None if i % 3 == 1 else i, f"number {i}") for i in range(1200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    path = f"{checkpoint_dir(spark)}/shards-{uuid.uuid4().hex}"
+    write_shards(df, path, shard_tokens=100)
+    store = read_shards(spark, path)
+    assert store.index.count() > 5 and store.shards.count() > 20
+    wanted = spark.createDataFrame([(i,) for i in range(-2000, 2000)], "doc_id long")
+    assert sorted(r.doc_id for r in described(store, wanted).collect()) == sorted(i for i, _ in rows if i is not None)
+    found = {}
+    for r in fetch(store, wanted).collect():
+        found.setdefault(r.doc_id, []).extend(r.ids)
+    assert sorted(found) == sorted({i for i, _ in rows if i is not None})
+    assert sorted(found[5]) == sorted(x for i, t in rows if i == 5 for x in plain(t))
 
 
 def test_one_id_on_a_third_of_the_rows(spark, monkeypatch):
@@ -59,8 +85,8 @@ def test_one_id_on_a_third_of_the_rows(spark, monkeypatch):
     path = f"{checkpoint_dir(spark)}/shards-{uuid.uuid4().hex}"
     write_shards(df, path)
     shards = read_shards(spark, path)
-    assert max(r.n_docs for r in shards.select("n_docs").collect()) < 250
-    got = sorted(map(tuple, described(shards).collect()), key=lambda r: r[1])
+    assert max(r.n_docs for r in shards.shards.select("n_docs").collect()) < 250
+    got = sorted(map(tuple, described(shards, df).collect()), key=lambda r: r[1])
     assert [r[0] for r in got] == sorted((i for i, _ in rows), key=lambda i: (i is not None, i or 0))
     assert sorted((r[0] or -1, r[2], r[3]) for r in got) == sorted(
         (i or -1, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())) for i, ids in ((i, plain(t)) for i, t in rows))
