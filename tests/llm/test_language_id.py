@@ -1,3 +1,7 @@
+import math
+import re
+from collections import Counter, defaultdict
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -66,3 +70,113 @@ def test_sample_of_rows_without_or_with_repeated_ids(spark):
     got = identify_documents(docs.selectExpr("doc_id", "text", "cast(null as string) AS lang", "source"), fit(mixed)).collect()
     truth = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
     assert sum(r.language == truth[r.doc_id] for r in got) >= 0.97 * len(truth)
+
+
+# --- the operator in plain Python -------------------------------------------------------------
+
+
+def plain_cells(text):
+    """Hashed trigrams of bytes that hold a letter; case, digits and white space are folded."""
+    fold = lambda b: b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else 48 if 48 <= b <= 57 else b
+    codes, found = [fold(b) for b in (text or "").encode()], []
+    for three in zip(codes, codes[1:], codes[2:]):
+        if any(97 <= c <= 122 or c >= 128 for c in three):
+            cell = sum(c * m for c, m in zip(three, (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D))) % 2**32
+            found.append((cell ^ (cell >> 15)) * 0x2C1B3C6D % 2**32 >> 18)
+    return found
+
+
+def plain_model(rows):
+    """log p(cell | language) from (id, text, language); repeated ids and texts count once."""
+    counts = {name: Counter() for name in LANGUAGES}
+    for _, text, name in {r for r in rows if r[2] in LANGUAGES}:
+        counts[name].update(plain_cells(text))
+    total = {name: sum(c.values()) + 0.5 * 2**14 for name, c in counts.items()}
+    return lambda cell: [math.log((counts[name][cell] + 0.5) / total[name]) for name in LANGUAGES]
+
+
+def softmax(values):
+    raised = [math.exp(v - max(values)) for v in values]
+    return [x / sum(raised) for x in raised]
+
+
+def plain_decisions(rows, model):
+    """(language, confidence, text_language, kept, all chances) for (text, declared, host, domain, suffix)."""
+    smooth = lambda n, prior: [(a + 20 * b) / (sum(n) + 20) for a, b in zip(n, prior)]
+    scores = []
+    for text, *_ in rows:
+        values = [model(c) for c in plain_cells(text)]
+        weight = min(len(values), 60) / max(len(values), 1)
+        scores.append([sum(v) * weight for v in zip(*values)] if values else None)
+    counts, whole = [defaultdict(lambda: [0.0] * 4) for _ in range(4)], [0.0] * 4
+    for (_, *evidence), score in zip(rows, scores):
+        if score:
+            chances = softmax(score)
+            whole = [a + b for a, b in zip(whole, chances)]
+            for table, value in zip(counts, evidence):
+                if value is not None:
+                    table[value] = [a + b for a, b in zip(table[value], chances)]
+    corpus = [(x + 1) / (sum(whole) + 4) for x in whole]
+    decisions = []
+    for (_, declared, host, domain, suffix), score in zip(rows, scores):
+        by_declared, by_host, by_domain, by_suffix = counts
+        prior = smooth(by_domain[domain], corpus) if domain in by_domain else corpus
+        prior = smooth(by_host[host], prior) if host in by_host else prior
+        total = [math.log(x) for x in prior]
+        for table, value in ((by_declared, declared), (by_suffix, suffix)):
+            if value in table:
+                total = [t + math.log(a / b) for t, a, b in zip(total, smooth(table[value], corpus), corpus)]
+        if score:
+            total = [a + b for a, b in zip(total, score)]
+        chances = softmax(total)
+        sure = bool(score) and max(chances) >= 0.5
+        best = lambda p: LANGUAGES[p.index(max(p))]
+        decisions.append((best(chances) if sure else "und", max(chances), best(score) if score else None, sure, chances))
+    return decisions
+
+
+def same_decisions(got, expected):
+    """Equal but for rounding; languages and verdicts may differ only where two chances all but tie."""
+    assert len(got) == len(expected)
+    for r, (language, confidence, text_language, kept, chances) in zip(got, expected):
+        first, second = sorted(chances)[:-3:-1]
+        if first - second > 1e-3 and abs(first - 0.5) > 1e-3:
+            assert (r.language, r.text_language, r.kept) == (language, text_language, kept)
+        assert abs(r.confidence - confidence) < 1e-3
+
+
+def test_documents_against_plain_python(spark):
+    for name, df, _ in tables(spark):
+        rows = df.select("doc_id", "text", "lang", "source", F.xxhash64("text", "lang", "source").alias("h")).collect()
+        model = plain_model([(r.doc_id, r.text, r.lang) for r in rows])
+        key = lambda r: (r.doc_id is None, r.doc_id or 0, r.h)
+        rows = sorted(rows, key=key)
+        expected = plain_decisions([(r.text, r.lang, r.source, None, None) for r in rows], model)
+        same_decisions(sorted(identify_documents(df, fit(df)).collect(), key=key), expected)
+        kept = Counter((r.doc_id, r.text, r.lang, r.source) for r, d in zip(rows, expected) if d[3])
+        assert Counter(map(tuple, accepted(df).select("doc_id", "text", "lang", "source").collect())) == kept, name
+
+
+def test_pages_against_plain_python(spark):
+    docs = given(spark)
+    model = plain_model([tuple(r) for r in docs.select("doc_id", "text", "lang").collect()])
+    odd = [(-1, None, None), (-2, "http://one.fr/x", ""), (-3, "no address", "<html lang=fr-CA><p>le texte"), (-3, None, "<!-- en --> der die das"),
+           (None, "https://LOCAL/", "<HTML Lang='DE'><style>a{}</style>und &amp; das Wort"), (-4, "http://a.b.example.org?q#f", "12 34")]
+    pages = spark.read.parquet(f"{FOLDER}/pages.parquet").select("page_id", "url", "html").unionByName(
+        spark.createDataFrame(odd, "page_id long, url string, html string"))
+    for own in (pages, pages.limit(0)):
+        rows = []
+        for page_id, url, html in own.collect():
+            rest = (url or "").split("://", 1)
+            host = (re.split("[/?#]", rest[1], maxsplit=1)[0].lower() if len(rest) > 1 else "") or None
+            declared = re.search(r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]+)", html or "")
+            text = re.sub(r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>", " ", html or "")
+            text = re.sub(r"&[A-Za-z#0-9]{1,10};", " ", re.sub(r"<[^>]*>", " ", text))
+            labels = host.split(".") if host else None
+            rows.append((page_id, text, declared and declared[1].lower(), host, labels and ".".join(labels[-2:]), labels and labels[-1]))
+        expected = plain_decisions([r[1:] for r in rows], model)
+        got = identify_pages(own, fit(docs)).collect()
+        assert Counter((r.page_id, r.declared, r.host, r.suffix) for r in got) == Counter((r[0], r[2], r[3], r[5]) for r in rows)
+        order = lambda r: (r[0] is None, r[0] or 0, r[1] or "", r[2] or "")
+        expected = [d for _, d in sorted(zip(rows, expected), key=lambda x: order((x[0][0], x[0][2], x[0][3])))]
+        same_decisions(sorted(got, key=lambda r: order((r.page_id, r.declared, r.host))), expected)
