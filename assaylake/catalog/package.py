@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,9 +22,10 @@ from assaylake.catalog.inputs import (
 from assaylake.catalog.layers import FIRST, SECOND
 from assaylake.functions.columns import ntz
 from assaylake.operators.audit import EVENT_SCHEMA, step_states
-from assaylake.operators.evaluate import evaluate, score_rows
+from assaylake.operators.evaluate import RESULT_SCHEMA, evaluate, score_rows
 from assaylake.operators.rules import plan_checks
 from assaylake.operators.summary import gate, summarize
+from assaylake.plans.checks import LOG_SCHEMA, run_checks
 from assaylake.plans.orders import FEEDS, OrderLoad
 from assaylake.sources.lake import Lake
 from assaylake.sources.metadata import CONFIG_SCHEMA, FEED_SCHEMA, RULE_SCHEMA, Feed, Rule, frame, records, settings
@@ -156,6 +158,39 @@ def mixed_keys(spark, folder) -> DataFrame:
     return score_rows(parts, outcome).select("p_partkey", "dq_status", F.lit(len(outcome.errors)).alias("bad_feeds"))
 
 
+GATE_SCHEMA = "p_partkey bigint, p_size int, dq_status string"
+GATE_RULES = [
+    Rule(921, 6, "Size", "", "${COL1} > 45", "MULTIPLE"),
+    Rule(922, 6, "Share", "", "100 / (${COL1} % 2) < 50", "MULTIPLE"),  # fails on even sizes
+]
+GATE_FEEDS = [
+    Feed(41, "SILVER", "PARTS", 921, "part", "p_partkey", None, "p_size", "N"),
+    Feed(42, "SILVER", "PARTS", 922, "part", "p_partkey", None, "p_size", "Y"),
+]
+
+
+def closed_gate(spark, folder) -> DataFrame:
+    """A critical feed that fails on some rows: left out and logged, or with `fail_closed` the end of the step,
+    after which no row has a status and no violation is kept."""
+    parts = table(spark, folder, "part").select(
+        F.col("p_partkey").cast("bigint"), F.col("p_size").cast("int"), F.lit(None).cast("string").alias("dq_status"))
+    checks = plan_checks(GATE_RULES, GATE_FEEDS, "part", "SILVER")
+    counted = []
+    for name, fail_closed in (("open", False), ("closed", True)):
+        lake = _lake(spark)
+        lake.append("SILVER", "part", parts)
+        run_checks(lake, "SILVER", "part", GATE_SCHEMA, checks, batch_id=BATCH, as_of=SECOND,
+                   settings={"DQ_SILVER_THRESHOLD": "90"}, fail_closed=fail_closed)
+        for kind, found, item in (
+            ("status", lake.read("SILVER", "part", GATE_SCHEMA), "dq_status"),
+            ("violations", lake.read("audit", "dq_result", RESULT_SCHEMA), "result"),
+            ("log", lake.read("audit", "dq_log", LOG_SCHEMA), "coalesce(error_message, status)"),
+        ):
+            counted.append(found.groupBy(F.lit(name).alias("gate"), F.lit(kind).alias("kind"), F.expr(item).alias("item")).agg(
+                F.count(F.lit(1)).alias("cnt")))
+    return reduce(DataFrame.unionByName, counted)
+
+
 # --- SQL forms -------------------------------------------------------------------------
 
 _GOOD = "o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')"
@@ -245,7 +280,20 @@ _VIEWS = union_sql(
     "SELECT 'runs', 'COMPLETED', CAST(7 AS BIGINT)",
 )
 
+_UNEVEN = "'the expression fails on ' || count(*) || ' rows'"
+_CLOSED = union_sql(
+    "SELECT 'open' AS gate, 'status' AS kind, CASE WHEN p_size > 45 THEN 'PASS-SOFT' ELSE 'PASS' END AS item, count(*) AS cnt "
+    "FROM part GROUP BY ALL",
+    "SELECT 'closed', 'status', NULL, count(*) FROM part",
+    "SELECT 'open', 'violations', 'PASS-SOFT', count(*) FROM part WHERE p_size > 45",
+    f"SELECT 'open', 'log', {_UNEVEN}, 1 FROM part WHERE p_size % 2 = 0",
+    "SELECT 'open', 'log', 'Success', 1",
+    f"SELECT 'closed', 'log', {_UNEVEN}, 1 FROM part WHERE p_size % 2 = 0",
+    "SELECT 'closed', 'log', 'critical feeds that cannot be evaluated: [42]', 1",
+)
+
 QUERIES = {
+    "dq_gate_closed": (closed_gate, _CLOSED),
     "package_views": (package_views, _VIEWS),
     "package_fact": (package_fact, _FACT),
     "package_steps": (package_steps, _STEPS),
