@@ -23,7 +23,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assaylake.llm.common import buffers, gram_names, mix, odd_multipliers, steps, text_of, word_names, word_spans
+from assaylake.llm.common import (
+    COPIES_PER_PIECE, buffers, gram_names, mix, odd_multipliers, small, steps, text_of, word_names, word_spans)
+from assaylake.sources.scratch import written_table
 from assaylake.sources.tables import table
 
 WINDOW = 13
@@ -190,6 +192,21 @@ def _answer(rows: pa.Table, chosen: np.ndarray, origin: np.ndarray, pack) -> pa.
     return _rows(_BACK, [[chunks[origin[p[0]]] for p in parts], [pack(p) for p in parts]])
 
 
+def counted_rows(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, copies): rows of one id and text once. They are counted by their hashes, and only
+    repeated ones are brought together, after each task has kept one of its own; other texts do not move."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(F.col("text")).alias("text"))
+    hashed = rows.withColumn("hash", F.xxhash64("text"))
+    counts = written_table(hashed.groupBy("doc_id", "hash").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1"))
+    if counts.isEmpty():
+        return rows.withColumn("copies", F.lit(1).cast("long"))
+    known = small(counts.select(F.col("doc_id").alias("key_id"), F.col("hash").alias("key_hash"), "copies"))
+    same = F.col("doc_id").eqNullSafe(F.col("key_id")) & (F.col("hash") == F.col("key_hash"))
+    once = hashed.join(known.drop("copies"), same, "left_anti").select("doc_id", "text", F.lit(1).cast("long").alias("copies"))
+    repeated = hashed.join(known, same).dropDuplicates(["doc_id", "hash"])
+    return once.unionByName(repeated.select("doc_id", "text", "copies"))
+
+
 def deduplicated(docs: DataFrame, window: int = WINDOW, chunk_bytes: int = CHUNK_BYTES, with_text: bool = False) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256[, kept]): one row per document.
 
@@ -202,9 +219,7 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, chunk_bytes: int = CHUNK
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(1, -(-total // chunk_bytes))
     buckets = max(1, math.ceil(total / 28 / KEYS_PER_BUCKET))  # about one key for every 28 bytes
-    base = docs.select(
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).alias("chunk"), F.col("doc_id").cast("long").alias("doc_id"),
-        text_of(F.col("text")).alias("text"))
+    base = counted_rows(docs).withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)))
 
     def send_keys(documents: pa.Table) -> pa.Table:
         found = [window_keys(words, first, window)[1] for *_, first, words in _Chunk(documents).steps()]
@@ -311,17 +326,23 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, chunk_bytes: int = CHUNK
                 if with_text:
                     kept_texts.append(own.decode())
         columns = [ids.to_pylist(), n_words, n_removed, digests, *([kept_texts] if with_text else [])]
-        return _rows(out_schema, columns)
+        return _rows(out_schema, [*columns, documents.column("copies").to_pylist()])
 
     fields = [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())]
-    out_schema = pa.schema(fields + [("kept", pa.string())] * with_text)
-    ddl = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * with_text
+    out_schema = pa.schema(fields + [("kept", pa.string())] * with_text + [("copies", pa.int64())])
+    ddl = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * with_text + ", copies long"
     sent, back = "bucket int, chunk long, blob binary", "chunk long, blob binary"
     by_chunk = base.groupBy("chunk")
     keys = by_chunk.applyInArrow(send_keys, sent).groupBy("bucket").applyInArrow(shared_keys, back)
     windows = by_chunk.cogroup(keys.groupBy("chunk")).applyInArrow(send_windows, sent)
     firsts = windows.groupBy("bucket").applyInArrow(first_documents, back)
-    return by_chunk.cogroup(firsts.groupBy("chunk")).applyInArrow(remove, ddl)
+    judged = by_chunk.cogroup(firsts.groupBy("chunk")).applyInArrow(remove, ddl)
+    # A row for each copy, a piece of them at a time.
+    own = [c for c in judged.columns if c != "copies"]
+    size, zero = F.lit(COPIES_PER_PIECE).cast("long"), F.lit(0).cast("long")
+    pieces = judged.withColumn("piece", F.explode(F.sequence(zero, F.floor((F.col("copies") - 1) / size))))
+    return pieces.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.least(
+        size, F.col("copies") - F.col("piece") * size)))).select(*own)
 
 
 def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:

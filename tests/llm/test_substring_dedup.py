@@ -4,7 +4,7 @@ from collections import Counter
 import numpy as np
 
 from assaylake.llm.common import odd_multipliers
-from assaylake.llm.substring_dedup import NO_ID, deduplicated, parse, window_keys
+from assaylake.llm.substring_dedup import NO_ID, counted_rows, deduplicated, parse, window_keys
 from tests.llm.cases import tables, words
 
 
@@ -32,6 +32,18 @@ def test_against_brute_force(spark):
         assert got == expected, name
 
 
+def test_a_third_of_the_rows_is_one_row(spark):
+    text = " ".join(f"word{i}" for i in range(30))
+    rows = [(None, text), (7, text), (8, f"before {text}"), (None, None), (None, "")] * 2
+    rows += [(5, text)] * 12_000 + [(i, f"own {i} " * 5) for i in range(20, 60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    counted = counted_rows(df).collect()
+    assert max(Counter((r.doc_id, r.text) for r in counted).values()) <= 2  # a NULL text beside an empty one
+    assert sum(r.copies for r in counted) == len(rows)
+    got = Counter(tuple(r) for r in deduplicated(df, chunk_bytes=2_000).collect())
+    assert got == Counter(a for a, _ in plain(rows))
+
+
 def test_equal_windows_have_equal_keys():
     rng = np.random.default_rng(3)
     for trial in range(30):
