@@ -92,8 +92,8 @@ def _located(docs: DataFrame, pattern: str | None = None) -> DataFrame:
     if pattern:
         parts.append(_matches(text, F.col(pattern), len(KINDS), F.col(pattern).isNotNull()))
     arrays = F.flatten(F.filter(F.array(*parts), lambda x: x.isNotNull()))
-    rows = docs.select("doc_id", "h", F.inline(arrays)).repartition("doc_id", "h")
-    rows = rows.dropDuplicates(["doc_id", "h", "kind", "i"])
+    # Each task keeps one of its equal rows' matches before any is moved.
+    rows = docs.select("doc_id", "h", F.inline(arrays)).dropDuplicates(["doc_id", "h", "kind", "i"])
     ordered = Window.partitionBy("doc_id", "h", "kind").orderBy("i")
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
     length = F.length("hit")
