@@ -69,3 +69,15 @@ def test_violations_of_expressions_are_not_shuffled(spark, path, monkeypatch):
     monkeypatch.setattr(engine, "SHARED_SCAN_BYTES", 0)
     plan = plan_of(checked(spark, path).results)
     assert not re.search(r"hashpartitioning\((_hit|_pos|_at)", plan)
+
+
+def test_statuses_are_judged_before_the_join(spark, tmp_path):
+    frame(spark, [(1, 1, "x"), (2, 1, " "), (3, 2, None)], "k bigint, a int, note string").write.parquet(f"{tmp_path}/n")
+    df = spark.read.parquet(f"{tmp_path}/n")
+    feeds = [Feed(1, "B", "D", 2, "t", "k", None, "note", "N"), Feed(2, "B", "D", 1, "t", "k", None, "a")]
+    outcome = evaluate(df, plan_checks(RULES, feeds, "t", "B"), batch_id="b", as_of=CLOCK)
+    scored = score_rows(df, outcome).select("k", "dq_status")
+    lines = plan_of(scored).splitlines()
+    judged = next(i for i, line in enumerate(lines) if "AS _judged" in line)
+    assert not any("note#" in line for line in lines[:judged])  # the join and its exchanges move no column of a condition
+    assert {tuple(r) for r in scored.collect()} == {(1, "FAIL"), (2, "PASS-SOFT"), (3, "PASS-SOFT")}
