@@ -1,9 +1,11 @@
 """Checks of tables above the size for a shared scan: the same violations and statuses, with less shuffled."""
 
+import datetime
 import re
 
 import pytest
 
+from assaylake.catalog import package
 from assaylake.operators import bad_keys, evaluate as engine
 from assaylake.operators.evaluate import evaluate, score_rows
 from assaylake.operators.rules import plan_checks
@@ -81,3 +83,18 @@ def test_statuses_are_judged_before_the_join(spark, tmp_path):
     judged = next(i for i, line in enumerate(lines) if "AS _judged" in line)
     assert not any("note#" in line for line in lines[:judged])  # the join and its exchanges move no column of a condition
     assert {tuple(r) for r in scored.collect()} == {(1, "FAIL"), (2, "PASS-SOFT"), (3, "PASS-SOFT")}
+
+
+def test_evidence_counts_its_violations_once(spark, tmp_path):
+    day = datetime.datetime
+    lines = [(i % 9, i, i, i % 2, 10.0 * (i % 4), 1.0, 0.1 * (i % 7), 0.0, "ANR"[i % 3], "OF"[i % 2], day(1995 + i % 7, 1, 2)) for i in range(40)]
+    frame(spark, lines, "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+          "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+          ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    frame(spark, [(i, day(1996, 6, 1)) for i in range(8)], "o_orderkey bigint, o_orderdate timestamp_ntz").write.parquet(
+        f"{tmp_path}/orders.parquet")
+    found = package.evidence(spark, str(tmp_path))
+    got = {r["feed_id"]: (r["violation_count"], r["evidence_count"]) for r in found.collect()}
+    assert {1303, 1305, 1306, 1308, 1309, 1310} <= set(got)
+    assert all(a == b for a, b in got.values())
+    assert "_latest" not in plan_of(found)  # the duplicates are not looked for again
