@@ -73,6 +73,16 @@ def test_violations_of_expressions_are_not_shuffled(spark, path, monkeypatch):
     assert not re.search(r"hashpartitioning\((_hit|_pos|_at)", plan)
 
 
+def test_large_references_are_not_broadcast(spark, path, monkeypatch):
+    spark.range(20000).selectExpr("CAST(id AS INT) AS a").write.parquet(f"{path}-n")
+    df, reference = spark.read.parquet(path), spark.read.parquet(f"{path}-n")
+    probe = bad_keys.lookup_probe(df, "a", reference, "a", "a", "k")
+    monkeypatch.setattr(bad_keys, "REFERENCE_BYTES", 1000)
+    merged = bad_keys.unknown_rows(df.filter("a < 9"), probe, df["a"].cast("string"))
+    assert "SortMergeJoin" in plan_of(merged) and merged.count() == 0
+    assert bad_keys.unknown_rows(df, bad_keys.lookup_probe(df, "a", reference.filter("a < 99"), "a", "a", "k"), df["a"]).count() == 200
+
+
 def test_statuses_are_judged_before_the_join(spark, tmp_path):
     frame(spark, [(1, 1, "x"), (2, 1, " "), (3, 2, None)], "k bigint, a int, note string").write.parquet(f"{tmp_path}/n")
     df = spark.read.parquet(f"{tmp_path}/n")
