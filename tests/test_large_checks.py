@@ -108,3 +108,14 @@ def test_evidence_counts_its_violations_once(spark, tmp_path):
     assert {1303, 1305, 1306, 1308, 1309, 1310} <= set(got)
     assert all(a == b for a, b in got.values())
     assert "_latest" not in plan_of(found)  # the duplicates are not looked for again
+
+
+def test_keys_of_a_lookup_are_compared_once(spark, path, monkeypatch):
+    spark.range(20000).selectExpr("CAST(id AS INT) AS a").write.parquet(f"{path}-n")
+    monkeypatch.setattr(bad_keys, "REFERENCE_BYTES", 1000)
+    df, reference = spark.read.parquet(path), spark.read.parquet(f"{path}-n")
+    probe = bad_keys.lookup_probe(df, "a", reference.filter("a < 99"), "a", "a", "k")
+    found = bad_keys.unknown_rows(df, probe, df["a"].cast("string"))
+    # The distinct keys, the rows that share a hash with a missing one, and rows without a key: no second comparison of all.
+    assert sum("FileScan" in line and "/t]" in line for line in plan_of(found).splitlines()) == 3
+    assert [r["record_value"] for r in found.collect()] == ["99"] * 200
